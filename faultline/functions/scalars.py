@@ -256,7 +256,8 @@ def missing_band(pct: Column | str) -> Column:
 
 def risk_score(probability: Column | str, digits: int = 2) -> Column:
     """Probability as a score of 0 to 100."""
-    return F.greatest(F.least(F.round(col(probability) * 100.0, digits), F.lit(100.0)), F.lit(0.0))
+    score = F.round(col(probability) * 100.0, digits)
+    return F.when(score.isNotNull(), F.greatest(F.least(score, F.lit(100.0)), F.lit(0.0)))
 
 
 def coalesce_id(ids: Sequence[Column | str]) -> Column:
