@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from faultline.functions import dates as D
 from faultline.functions.scalars import flag
 from faultline.operators.clean import history
+from faultline.session import checkpoint
 
 
 @dataclass(frozen=True)
@@ -160,7 +161,11 @@ def reliability(assets: DataFrame, cutoff: str, install: str | None = None) -> D
 
 
 def class_means(assets: DataFrame, key: Column, value: str, name: str) -> DataFrame:
-    """Group-mean encoding: the mean of ``value`` over assets with the same key, joined back."""
-    keyed = assets.withColumn("_key", key)
+    """Group-mean encoding: the mean of ``value`` over assets with the same key, joined back.
+
+    A join to the aggregate, not a window, so a key that many assets share stays spread out; the asset
+    rows are written once because both sides read them.
+    """
+    keyed = checkpoint(assets.withColumn("_key", key))
     means = keyed.groupBy("_key").agg(F.avg(value).alias(name))
     return keyed.join(means, "_key", "left").drop("_key")
