@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("assets", "cleaning", "features", "profiling", "ranking", "risks", "survivals")
+_MODULES = ("assets", "cleaning", "features", "profiling", "ranking", "risks", "survivals", "scoring")
 
 
 def register(name: str, sql: str | None = None):
