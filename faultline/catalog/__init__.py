@@ -11,7 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("assets", "cleaning", "features", "profiling", "ranking", "risks", "survivals", "scoring")
+_MODULES = ("assets", "cleaning", "features", "profiling", "ranking", "risks", "survivals", "scoring", "selection",
+            "segments")
 
 
 def register(name: str, sql: str | None = None):

@@ -107,7 +107,7 @@ a AS (SELECT asset, count(*) AS n_events, min(started) AS first_event, max(start
        first(cause ORDER BY started, event_id) AS cause_first, last(cause ORDER BY started, event_id) AS cause_last,
        avg(impact) AS impact_mean, avg(impact / 10) AS weight_mean, max(impact / 10) AS weight_max
       FROM h GROUP BY 1),
-t AS (SELECT a.*, g.recurs_30d, g.recurs_90d, cp.cause_diversity, cp.cause_consistency, cp.cause_mode,
+t0 AS (SELECT a.*, g.recurs_30d, g.recurs_90d, cp.cause_diversity, cp.cause_consistency, cp.cause_mode,
        {days_sql("first_event", "last_event")} AS span,
        {days_sql("first_event", f"TIMESTAMP '{CUTOFF}'")} AS obs,
        {days_sql("last_event", f"TIMESTAMP '{CUTOFF}'")} AS days_since_last,
@@ -117,7 +117,7 @@ t AS (SELECT a.*, g.recurs_30d, g.recurs_90d, cp.cause_diversity, cp.cause_consi
 assets AS (SELECT *, CASE WHEN n_events >= 2 AND span > 0 THEN span::DOUBLE / (n_events - 1) END AS mtbf_days,
        CASE WHEN n_events >= 2 AND obs > 0 THEN obs::DOUBLE / n_events END AS mtbf_observable_days,
        CASE WHEN age_days > 0 THEN age_days::DOUBLE / n_events END AS mtbf_lifetime_days,
-       age_days / 365.25::DOUBLE AS age_years, days_to_first / 365.25::DOUBLE AS years_to_first FROM t)"""
+       age_days / 365.25::DOUBLE AS age_years, days_to_first / 365.25::DOUBLE AS years_to_first FROM t0)"""
 
 
 def history_log(spark, folder):

@@ -168,3 +168,11 @@ def prediction_summary(long: DataFrame, horizon: str, probability: str, threshol
         F.count(probability).alias("n"), F.avg(probability).alias("mean"), F.count_if(high).alias("n_high"),
         (F.count_if(high) / F.count(F.lit(1)) * 100.0).alias("high_pct"))
     return stats.join(quantiles(long, [probability], {"median": 0.5}, by=[horizon]).drop("column"), horizon)
+
+
+def leakage_correlation(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """Correlation of each feature with the target, with bands at 0.5 and 0.3."""
+    one = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f"_r{i}") for i, f in enumerate(features)])
+    rows = [F.struct(F.lit(f).alias("feature"), S.finite(F.col(f"_r{i}")).alias("r")) for i, f in enumerate(features)]
+    return one.select(F.inline(F.array(*rows))).withColumn(
+        "band", F.when(F.abs("r") > 0.5, F.lit("leak")).when(F.abs("r") > 0.3, F.lit("watch")).otherwise(F.lit("fine")))
