@@ -12,7 +12,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 _MODULES = ("assets", "cleaning", "features", "profiling", "ranking", "risks", "survivals", "scoring", "selection",
-            "segments", "learning")
+            "segments", "learning", "storage")
 
 
 def register(name: str, sql: str | None = None):

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from faultline import vocabulary
 from faultline.catalog import register, table
 from faultline.catalog.assets import asset_table, rounded
 from faultline.catalog.risks import TARGET_SQL, targets
 from faultline.models import baseline as B, calibrate as C, explain as X, smote as O, training as T
 from faultline.operators import metrics as M, sets
+from faultline.operators.schema import annotate_importance
 from faultline.session import checkpoint
 
 NUMERIC = ["n_events", "days_since_last", "mtbf_days", "repair_hours_mean", "weight_mean", "age_years", "cause_consistency"]
@@ -90,7 +92,8 @@ def failure_scores(spark, folder):
 @register("feature_importance")
 def feature_importance(spark, folder):
     p, _, _, model = trained(spark, folder)
-    return T.top_features(T.importance(model, p.features, spark, "6M"), 5)
+    top = T.top_features(T.importance(model, p.features, spark, "6M"), 5)
+    return annotate_importance(top, vocabulary.COLUMN_NAMES)
 
 
 @register("chronic_model_scores")

@@ -22,18 +22,31 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def _set_checkpoint_folder(spark: SparkSession) -> None:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="faultline-checkpoint-")
+    spark.sparkContext.setCheckpointDir(folder)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder in ``spark.checkpoint.dir``.
+    """Write a table once and cut its lineage, through the shared folder in ``spark.checkpoint.dir``.
 
     A temporary folder is set only where the session names none and runs in local mode.
     """
     spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        _set_checkpoint_folder(spark)
+    return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder beside the checkpoints, for tables a job writes and reads back."""
+    import uuid
+
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="faultline-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        _set_checkpoint_folder(spark)
+    return f"{sc.getCheckpointDir().rstrip('/')}/scratch-{uuid.uuid4().hex}"
