@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,12 @@ def register(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

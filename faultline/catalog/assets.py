@@ -204,7 +204,7 @@ WITH p AS (SELECT user_id, ts, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT user_id, ts, n, lag(ts) OVER w AS prev_ts, {days_sql("lag(ts) OVER w", "ts")} AS gap_days FROM p
 WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
 def event_gaps(spark, folder):
-    return ordered.gaps(table(spark, folder, "events"), "user_id", "ts", block="day")
+    return ordered.gaps(table(spark, folder, "events"), "user_id", "ts")
 
 
 @register("event_ordinals", """
@@ -212,4 +212,4 @@ WITH p AS (SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1,
 SELECT o_custkey, o_orderdate, n, CAST(sum(n) OVER w AS BIGINT) AS seq, lead(o_orderdate) OVER w AS next_ts FROM p
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)""")
 def event_ordinals(spark, folder):
-    return ordered.event_chain(table(spark, folder, "orders"), "o_custkey", "o_orderdate", block="year").drop("prev_ts")
+    return ordered.event_chain(table(spark, folder, "orders"), "o_custkey", "o_orderdate").drop("prev_ts")

@@ -19,7 +19,7 @@ iv AS (SELECT * FROM i WHERE time_to_event > 0)"""
 
 
 def intervals(spark, folder):
-    return V.survival_intervals(fault_log(spark, folder), "asset", "started", CUTOFF, block="year")
+    return V.survival_intervals(fault_log(spark, folder), "asset", "started", CUTOFF)
 
 
 def classed(spark, folder):
@@ -40,7 +40,7 @@ d AS (SELECT user_id, observed_at, CAST({days_sql("observed_at", "coalesce(nxt,
   CASE WHEN nxt IS NULL THEN 0 ELSE 1 END AS event_occurred, failure_number FROM i)
 SELECT * FROM d WHERE time_to_event > 0""")
 def survival_intervals_events(spark, folder):
-    return V.survival_intervals(table(spark, folder, "events"), "user_id", "ts", "2024-01-20 00:00:00", block="day")
+    return V.survival_intervals(table(spark, folder, "events"), "user_id", "ts", "2024-01-20 00:00:00")
 
 
 @register("censored_healthy", f"""

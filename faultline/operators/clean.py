@@ -113,8 +113,8 @@ def admit_healthy(
 
 
 def without(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key never occurs in the other table."""
-    return df.join(other.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    """Rows whose key never occurs in the other table; its keys are made distinct before they meet."""
+    return df.join(other.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
 def stage_counts(stages: Sequence[tuple[str, DataFrame]], entity: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from faultline.functions.dates import elapsed_days
 
 
-def event_chain(df: DataFrame, entity: str, ts: str, block: str = "month") -> DataFrame:
+def event_chain(df: DataFrame, entity: str, ts: str, block: str = "day") -> DataFrame:
     """One row per (entity, instant): events at it, events up to and with it, neighbouring instants.
 
     Columns: entity, ts, ``n``, ``seq`` (ordinal of the last event at the instant), ``prev_ts``, ``next_ts``.
@@ -55,7 +55,7 @@ def event_chain(df: DataFrame, entity: str, ts: str, block: str = "month") -> Da
     )
 
 
-def gaps(df: DataFrame, entity: str, ts: str, block: str = "month") -> DataFrame:
+def gaps(df: DataFrame, entity: str, ts: str, block: str = "day") -> DataFrame:
     """Days since the previous event of the entity, by instant; ``n - 1`` further gaps at it are 0."""
     chain = event_chain(df, entity, ts, block)
     return chain.select(entity, ts, "n", "prev_ts", elapsed_days("prev_ts", ts).alias("gap_days"))
@@ -75,7 +75,8 @@ def _bounds(df: DataFrame, columns: Sequence[str], blocks: int) -> list[list[flo
 
 
 def default_blocks(df: DataFrame) -> int:
-    return min(4096, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Twice the shuffle partitions, within [64, 4096]: block totals stay small enough to broadcast."""
+    return min(4096, max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def with_blocks(df: DataFrame, columns: Sequence[str], out: Sequence[str], blocks: int | None = None) -> DataFrame:
@@ -85,7 +86,7 @@ def with_blocks(df: DataFrame, columns: Sequence[str], out: Sequence[str], block
     inf = float("inf")
     splits = [[-inf, *b, inf] if len(b) > 0 else [-inf, 0.0, inf] for b in found]
     bucketizer = Bucketizer(splitsArray=splits, inputCols=list(columns), outputCols=list(out), handleInvalid="keep")
-    return bucketizer.transform(df)
+    return bucketizer.transform(df).withColumns({m: F.col(m).cast("int") for m in out})
 
 
 def cumulative(
@@ -107,6 +108,9 @@ def cumulative(
     if block_column is None:
         rows = with_blocks(rows.withColumn("_position", F.col(value).cast("double")), ["_position"], ["_block"], blocks)
         block_column = "_block"
+    # Stated here so that both readers below share one shuffle of the counts.
+    for c in (*by, block_column):
+        rows = rows.filter(F.col(c).isNotNull())
     freq = rows.groupBy(*by, block_column, value).agg(*[m.alias(k) for k, m in measures.items()])
     inside = Window.partitionBy(*by, block_column).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = freq.select(*by, block_column, value, *measures,
@@ -166,27 +170,47 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per (group, column).
 
-    The two order statistics around each quantile are picked from cumulative counts, so the size of a
-    group or the number of its distinct values never has to fit one task.
+    Block totals tell which blocks hold the two order statistics around each quantile; only their rows
+    are shuffled and ordered. The size of a group or its number of distinct values never has to fit
+    one task.
     """
-    by = list(by)
+    keys = [*by, "column"]
     prepared = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     marks = [f"_b{i}" for i in range(len(columns))]
     blocked = with_blocks(prepared, columns, marks, blocks)
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(m).alias("_block"))
              for c, m in zip(columns, marks)]
     long = blocked.select(*by, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    c = cumulative(long, "value", by=[*by, "column"], block_column="_block")
+
+    positions = []
+    for q in probs.values():
+        h = F.lit(float(q)) * (F.col("_total") - 1)
+        positions += [F.floor(h), F.ceil(h)]
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = long.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, "_block", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(group).alias("_total"))
+    held = F.lit(False)
+    for position in positions:
+        held = held | ((F.col("_before") <= position) & (position < F.col("_before") + F.col("_n")))
+    wanted = totals.filter(held).select(*keys, "_block", "_before", "_total")
+    if not by:
+        wanted = F.broadcast(wanted)  # at most two blocks per quantile and column
+    inside = Window.partitionBy(*keys, "_block").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    near = long.join(wanted, [*keys, "_block"]).groupBy(*keys, "_block", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_before").alias("_before"), F.max("_total").alias("_total")).select(
+        *keys, "value", "_total", "n", (F.sum("n").over(inside) - F.col("n") + F.col("_before")).alias("n_before"))
     picks = []
-    for name, q in probs.items():
-        h = F.lit(float(q)) * (F.col("n_total") - 1)
-        for tag, position in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+    for i, (name, q) in enumerate(probs.items()):
+        h = F.lit(float(q)) * (F.col("_total") - 1)
+        for tag, position in zip(("lo", "hi"), positions[2 * i:2 * i + 2]):
             at = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))
             picks.append(F.max(F.when(at, F.col("value"))).alias(f"_{name}_{tag}"))
         picks.append(F.max(h - F.floor(h)).alias(f"_{name}_w"))
-    wide = c.groupBy(*by, "column").agg(*picks)
+    wide = near.groupBy(*keys).agg(*picks)
     out = [(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_w")).alias(n) for n in probs]
-    return wide.select(*by, "column", *out)
+    return wide.select(*keys, *out)
 
 
 def quantile_value(df: DataFrame, column: str, q: float) -> Column:

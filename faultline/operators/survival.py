@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from faultline import config
 from faultline.functions import dates as D
-from faultline.operators.clean import history
+from faultline.operators.clean import history, without
 from faultline.operators.ordered import cumulative, event_chain
 
 
-def survival_intervals(events: DataFrame, entity: str, ts: str, cutoff: str, block: str = "month") -> DataFrame:
+def survival_intervals(events: DataFrame, entity: str, ts: str, cutoff: str, block: str = "day") -> DataFrame:
     """One record per event that is followed by a later one, the last one censored at the cutoff.
 
     Events at one instant give a single record (the others would last zero days and are dropped), so
@@ -33,7 +33,7 @@ def censored_healthy(assets: DataFrame, events: DataFrame, entity: str, cutoff:
     if age_years is not None:
         options.append(F.col(age_years) * 365.25)
     days = F.coalesce(*options, F.lit(float(default_days))).cast("int")
-    healthy = assets.join(events.select(entity).filter(F.col(entity).isNotNull()), entity, "left_anti")
+    healthy = without(assets, events, entity)
     aged = healthy.withColumn("time_to_event", days).filter(F.col("time_to_event") > 0)
     observed = F.timestamp_micros(D.moment_micros(cutoff) - F.col("time_to_event").cast("bigint") * D.DAY_US)
     return aged.select(entity, observed.cast("timestamp_ntz").alias("observed_at"), "time_to_event",
