@@ -27,7 +27,7 @@ def ratio_plus1(parts: Sequence[Column | str], total: Column | str) -> Column:
     """Share of ``parts`` in ``total + 1``, missing counted as 0, clipped to [0, 1]."""
     numerator = sum((F.coalesce(col(p).cast("double"), F.lit(0.0)) for p in parts), F.lit(0.0))
     share = F.try_divide(numerator, F.coalesce(col(total).cast("double"), F.lit(0.0)) + 1.0)
-    return F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))
+    return F.when(share.isNotNull(), F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)))
 
 
 def ratio_plus1_of_means(parts: Sequence[Column | str], total: Column | str) -> Column:

@@ -180,7 +180,7 @@ def survival_pof(model: CoxModel | None, assets: DataFrame, entity: str,
         else:
             raw = F.lit(1.0) - F.exp(-F.lit(model.hazard_at(days)) * F.exp(model.log_risk()))
             known = raw.isNotNull()
-            p = F.coalesce(F.greatest(F.least(raw, F.lit(1.0)), F.lit(0.0)), F.lit(0.5))
+            p = F.when(known, F.greatest(F.least(raw, F.lit(1.0)), F.lit(0.0))).otherwise(F.lit(0.5))
         out = out.withColumns({f"pof_{h}": p, f"risk_class_{h}": S.flag(known & (p >= thresholds[h]))})
         columns += [f"pof_{h}", f"risk_class_{h}"]
     longest = list(horizons)[-1]

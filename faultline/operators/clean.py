@@ -125,4 +125,4 @@ def stage_counts(stages: Sequence[tuple[str, DataFrame]], entity: str) -> DataFr
             F.lit(i).alias("step"), F.lit(name).alias("stage"), "n_rows", "n_assets")
         rows = one if rows is None else rows.unionByName(one)
     start = stages[0][1].agg(F.count_distinct(entity).alias("n")).scalar()
-    return rows.withColumn("lost_pct", (F.lit(1.0) - F.col("n_assets") / start) * 100.0)
+    return rows.withColumn("lost_pct", (F.lit(1.0) - F.try_divide(F.col("n_assets"), start)) * 100.0)

@@ -32,6 +32,8 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code", codes: DataFrame | None = None) -> DataFrame:
     """Add ``<column>_code``; labels unknown to the given codes get null."""
+    if not columns:
+        return df
     codes = label_codes(df, columns) if codes is None else codes
     out = df
     for c in columns:

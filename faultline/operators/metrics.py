@@ -61,8 +61,8 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     c = score_counts(df, label, score)
-    points = c.select(F.col(score).alias("threshold"), (_above("neg") / F.col("neg_total")).alias("fpr"),
-                      (_above("pos") / F.col("pos_total")).alias("tpr"))
+    points = c.select(F.col(score).alias("threshold"), F.try_divide(_above("neg"), F.col("neg_total")).alias("fpr"),
+                      F.try_divide(_above("pos"), F.col("pos_total")).alias("tpr"))
     origin = df.limit(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(origin)
 
@@ -71,7 +71,7 @@ def pr_points(df: DataFrame, label: str, score: str) -> DataFrame:
     c = score_counts(df, label, score)
     points = c.select(F.col(score).alias("threshold"),
                       (_above("pos") / (_above("pos") + _above("neg"))).alias("precision"),
-                      (_above("pos") / F.col("pos_total")).alias("recall"))
+                      F.try_divide(_above("pos"), F.col("pos_total")).alias("recall"))
     end = df.limit(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return points.unionByName(end)
 
@@ -101,7 +101,8 @@ def brier(label: str, score: str) -> Column:
 
 def log_loss(label: str, score: str, eps: float = 2.220446049250313e-16) -> Column:
     p = F.greatest(F.least(F.col(score), F.lit(1.0 - eps)), F.lit(eps))
-    return F.avg(-F.when(F.col(label) == 1, F.log(p)).otherwise(F.log1p(-p)))
+    loss = -F.when(F.col(label) == 1, F.log(p)).when(F.col(label) == 0, F.log1p(-p))
+    return F.avg(F.when(F.col(score).isNotNull(), loss))
 
 
 def calibration_metrics(long: DataFrame, label: str, score: str, by: Sequence[str], bins: int = 10) -> DataFrame:

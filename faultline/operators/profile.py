@@ -116,7 +116,7 @@ def coverage(df: DataFrame, columns: Sequence[str], jointly: Mapping[str, Sequen
             present = present & F.col(c).isNotNull()
         aggs.append(F.count_if(present).alias(f"_j{i}"))
     names = [(c, f"_c{i}") for i, c in enumerate(columns)] + [(c, f"_j{i}") for i, c in enumerate(jointly)]
-    rows = [F.struct(F.lit(n).alias("column"), F.col(a).alias("filled"), (F.col(a) / F.col("_n") * 100.0).alias("pct"))
+    rows = [F.struct(F.lit(n).alias("column"), F.col(a).alias("filled"), (F.try_divide(F.col(a), F.col("_n")) * 100.0).alias("pct"))
             for n, a in names]
     return df.agg(*aggs).select(F.inline(F.array(*rows))).withColumn("band", S.coverage_band("pct"))
 
@@ -190,7 +190,7 @@ def binned_mean(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     hi = df.agg(F.max(x).cast("double").alias("v")).scalar()
     placed = df.filter(F.col(x).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).alias("y")).withColumn(
         "step", (hi - lo) / bins).withColumn("lo", lo)
-    raw = F.ceil((F.col("x") - F.col("lo")) / F.col("step"))
+    raw = F.ceil(F.try_divide(F.col("x") - F.col("lo"), F.col("step")))
     index = F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(bins)).cast("int")
     return placed.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean"))
 
@@ -231,7 +231,7 @@ def scorecard(df: DataFrame, criteria: Mapping[str, tuple[Column, float, str]])
 
 
 def filled_pct(column: str) -> Column:
-    return F.count(column) / F.count(F.lit(1)) * 100.0
+    return F.try_divide(F.count(column), F.count(F.lit(1))) * 100.0
 
 
 def quality_scorecard(df: DataFrame, entity: str, asset_class: str, install: str, ts: str, customers: str,
@@ -247,9 +247,9 @@ def quality_scorecard(df: DataFrame, entity: str, asset_class: str, install: str
         "install date": (filled_pct(install), 80.0, ">"),
         "event time": (filled_pct(ts), 90.0, ">"),
         "customers": (filled_pct(customers), 80.0, ">"),
-        "coordinates": (F.count_if(both) / F.count(F.lit(1)) * 100.0, 80.0, ">"),
+        "coordinates": (F.try_divide(F.count_if(both), F.count(F.lit(1))) * 100.0, 80.0, ">"),
         "time span": (elapsed_days(F.min(ts), F.max(ts)), 365.0, ">"),
-        "completeness": (filled / (F.count(F.lit(1)) * len(df.columns)) * 100.0, 70.0, ">"),
+        "completeness": (F.try_divide(filled, F.count(F.lit(1)) * len(df.columns)) * 100.0, 70.0, ">"),
     })
     distinct_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
     unique = scorecard(distinct_rows, {"no duplicates": (F.count(F.lit(1)) / F.sum("n") * 100.0, 95.0, ">")})

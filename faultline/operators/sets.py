@@ -53,7 +53,7 @@ def id_audit(a: DataFrame, b: DataFrame, key_a: str, key_b: str) -> DataFrame:
     """Sizes of the intersection and both differences, the match share of the first table and its band."""
     p = id_presence(a, b, key_a, key_b)
     both = F.count_if((F.col("in_a") == 1) & (F.col("in_b") == 1))
-    pct = both / F.sum("in_a") * 100.0
+    pct = F.try_divide(both, F.sum("in_a")) * 100.0
     return p.agg(
         F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"), both.alias("n_both"),
         F.count_if(F.col("in_b") == 0).alias("n_only_a"), F.count_if(F.col("in_a") == 0).alias("n_only_b"),

@@ -100,4 +100,4 @@ def concordance(records: DataFrame, time: str, event: str, risk: str, max_days:
     return c.agg(
         F.sum(e * F.col("late_before")).alias("concordant"), F.sum(e * F.col("late")).alias("tied"),
         F.sum(e * F.col("late_total")).alias("comparable"),
-    ).withColumn("c_index", (F.col("concordant") + F.col("tied") * 0.5) / F.col("comparable"))
+    ).withColumn("c_index", F.try_divide(F.col("concordant") + F.col("tied") * 0.5, "comparable"))
