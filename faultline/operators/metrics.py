@@ -55,8 +55,8 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
     cuts = threshold_metrics(df, label, score, threshold, by).drop("tp", "fp", "fn", "tn")
     if by:
         return ranks.join(cuts, by)
-    # Two one-row results are laid side by side through a constant key.
-    return ranks.withColumn("_k", F.lit(1)).join(cuts.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    one = cuts.select(F.struct("precision", "recall", "f1").alias("c")).scalar()
+    return ranks.withColumn("_c", one).select("auc", "average_precision", "_c.*")
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
