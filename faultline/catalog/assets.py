@@ -132,14 +132,14 @@ def asset_table(spark, folder):
 
 @register("asset_rollup", f"""{ROLLUP_SQL}
 SELECT asset, n_events, first_event, last_event, summer_events, winter_events, events_3m, events_6m, events_12m,
- round(repair_hours_mean, 6) AS repair_hours_mean, round(repair_hours_max, 6) AS repair_hours_max, status, install,
+ round(repair_hours_mean, 3) AS repair_hours_mean, round(repair_hours_max, 3) AS repair_hours_max, status, install,
  cause_first, cause_last, round(impact_mean, 4) AS impact_mean, round(weight_mean, 6) AS weight_mean,
  round(weight_max, 6) AS weight_max, recurs_30d, recurs_90d, cause_diversity,
  round(cause_consistency, 6) AS cause_consistency, cause_mode FROM assets""")
 def asset_rollup(spark, folder):
     out = R.rollup(history_log(spark, folder), FAULT_SPEC, CUTOFF)
-    return rounded(rounded(out, "impact_mean", digits=4), "repair_hours_mean", "repair_hours_max", "weight_mean",
-                   "weight_max", "cause_consistency")
+    out = rounded(rounded(out, "impact_mean", digits=4), "repair_hours_mean", "repair_hours_max", digits=3)
+    return rounded(out, "weight_mean", "weight_max", "cause_consistency")
 
 
 @register("mtbf_measures", f"""{ROLLUP_SQL}

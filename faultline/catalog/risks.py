@@ -145,9 +145,9 @@ def consequences(spark, folder):
     return K.consequence(K.affected_customers(outage_assets(spark, folder), ["impact_mean"]))
 
 
-@register("average_outage", f"{COF_SQL} SELECT asset, round(avg_outage_minutes, 5) AS avg_outage_minutes FROM o")
+@register("average_outage", f"{COF_SQL} SELECT asset, round(avg_outage_minutes, 2) AS avg_outage_minutes FROM o")
 def average_outage(spark, folder):
-    return rounded(outage_assets(spark, folder).select("asset", "avg_outage_minutes"), "avg_outage_minutes", digits=5)
+    return rounded(outage_assets(spark, folder).select("asset", "avg_outage_minutes"), "avg_outage_minutes", digits=2)
 
 
 @register("consequence_of_failure", f"""{COF_SQL}

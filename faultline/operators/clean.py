@@ -41,20 +41,21 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 def removed_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The rows ``dedup_by_key`` drops, equal rows counted in ``copies``.
 
-    Rows are counted before the keys meet, so a key with many copies is a few counted rows.
+    Only keys that repeat are looked at again: where they are few the second pass is a filter without a
+    shuffle. Equal rows are counted map-side, so a key with many copies is a few counted rows.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-    kept = counted.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])).alias("_kept"))
+    rank = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    repeated = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(rank).alias("_kept")).filter(F.col("_n") > 1).drop("_n")
     same_key = None
     for i, k in enumerate(keys):
         same = F.col(k).eqNullSafe(F.col(f"_k{i}"))
         same_key = same if same_key is None else same_key & same
-    joined = counted.join(kept, same_key)
-    is_kept = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).eqNullSafe(F.col("_kept"))
-    left = F.col("copies") - is_kept.cast("bigint")
-    return joined.select(*columns, left.alias("copies")).filter(F.col("copies") > 0)
+    marked = df.join(repeated, same_key).select(*columns, rank.eqNullSafe(F.col("_kept")).alias("_is_kept"))
+    counted = marked.groupBy(*columns, "_is_kept").agg(F.count(F.lit(1)).alias("copies"))
+    left = F.col("copies") - F.col("_is_kept").cast("bigint")
+    return counted.select(*columns, left.alias("copies")).filter(F.col("copies") > 0)
 
 
 def duplicate_split(df: DataFrame, ts: str, cutoff: str, entity: str, copies: str = "copies") -> DataFrame:

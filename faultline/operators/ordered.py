@@ -64,8 +64,11 @@ def gaps(df: DataFrame, entity: str, ts: str, block: str = "day") -> DataFrame:
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key under a total order, by aggregation: copies of a hot key meet map-side."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
+    if set(rest) <= set(order):
+        best = F.min(F.struct(*[c for c in order if c not in keys]))  # the order is the row
+    else:
+        best = F.min_by(F.struct(*rest), F.struct(*order))
+    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def _bounds(df: DataFrame, columns: Sequence[str], blocks: int) -> list[list[float]]:
