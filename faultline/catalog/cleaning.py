@@ -54,11 +54,6 @@ def dedup_by_key(spark, folder):
     return clean.dedup_by_key(table(spark, folder, "lineitem"), LINE_KEYS, LINE_REST)
 
 
-DUPLICATE_SQL = f"""
-SELECT * EXCLUDE (rn, o_custkey), 1 AS one FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate
- ORDER BY o_orderkey) AS rn FROM orders) WHERE rn > 1"""
-
-
 @register("removed_duplicates", f"""
 SELECT {', '.join(LINE_KEYS + LINE_REST)}, count(*) AS copies FROM
  (SELECT *, row_number() OVER (PARTITION BY {', '.join(LINE_KEYS)} ORDER BY {', '.join(LINE_REST)}) AS rn FROM lineitem)

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from faultline import config
 from faultline.catalog import register, table
-from faultline.catalog.assets import CUTOFF, ROLLUP_SQL, asset_table, rounded
+from faultline.catalog.assets import ROLLUP_SQL, asset_table, rounded
 from faultline.functions import scalars as S
-from faultline.operators import rollup as R
 from faultline.plans.asset_table import feature_table
 
 # The dimension carries class text, district and voltage derived from the customer row.

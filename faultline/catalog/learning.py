@@ -29,9 +29,7 @@ def prepared(spark, folder, horizons=("6M",)):
 
 
 def trained(spark, folder, settings=QUICK):
-    p = prepared(spark, folder)
-    train, test = T.stratified_split(p.table, "asset", ["target_6M"])
-    train = checkpoint(train)
+    p, train, test = _split(spark, folder)
     return p, train, test, T.fit_classifier(train, "target_6M", settings, "asset")
 
 
@@ -149,17 +147,18 @@ def calibrated_scores(spark, folder):
     return C.score_calibrated(iso, everyone, "asset", "probability_1")
 
 
-def _baseline(spark, folder, kind):
+def _split(spark, folder):
     p = prepared(spark, folder)
     train, test = T.stratified_split(p.table, "asset", ["target_6M"])
-    return p, test, B.fit_baseline(checkpoint(train), "target_6M", "asset", kind, (0.01, 0.1))
+    return p, checkpoint(train), test
 
 
 @register("baseline_metrics")
 def baseline_metrics(spark, folder):
+    _, train, test = _split(spark, folder)
     rows = []
     for kind in ("logistic", "ridge", "lasso"):
-        _, test, model = _baseline(spark, folder, kind)
+        model = B.fit_baseline(train, "target_6M", "asset", kind, (0.01, 0.1))
         s = checkpoint(B.baseline_scores(model, test).select("target_6M", "probability_1"))
         rows.append(M.binary_metrics(s, "target_6M", "probability_1").select(F.lit("6M").alias("horizon"), F.lit(kind).alias("model"), "*"))
     return M.compare_models(rows)
@@ -167,8 +166,8 @@ def baseline_metrics(spark, folder):
 
 @register("baseline_coefficients")
 def baseline_coefficients(spark, folder):
-    p, _, model = _baseline(spark, folder, "logistic")
-    return B.coefficients(model, p.features, spark)
+    p, train, _ = _split(spark, folder)
+    return B.coefficients(B.fit_baseline(train, "target_6M", "asset", "logistic", (0.01, 0.1)), p.features, spark)
 
 
 @register("walk_forward")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.catalog import register, table
-from faultline.catalog.assets import (CUTOFF, FAULT_SPEC, FAULT_SQL, HISTORY_SQL, asset_table, days_sql, fault_log,
-                                      history_log, rounded)
+from faultline.catalog.assets import (CUTOFF, FAULT_SQL, HISTORY_SQL, asset_table, days_sql, fault_log, history_log,
+                                      rounded)
 from faultline.functions import dates as D, scalars as S
-from faultline.operators import clean, labels as L, risk as K, rollup as R, segments, sets
+from faultline.operators import clean, labels as L, risk as K, segments, sets
 from faultline.session import checkpoint
 
 EARLY = "1995-09-25 00:00:00"  # many customers have no order before it, so both groups are large

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.catalog import register, table
-from faultline.catalog.assets import CUTOFF, days_sql, rounded
+from faultline.catalog.assets import CUTOFF, rounded
 from faultline.catalog.features import BASE_SQL, described_assets
 from faultline.catalog.risks import TARGET_SQL, targets
 from faultline.functions import dates as D

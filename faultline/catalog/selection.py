@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.catalog import register, table
-from faultline.catalog.assets import CUTOFF, ROLLUP_SQL, asset_table, history_log, rounded
+from faultline.catalog.assets import CUTOFF, ROLLUP_SQL, asset_table
 from faultline.catalog.profiling import GAPPY_SQL, GAPPY_TYPES, gappy
 from faultline.operators import encode as E, profile as P, schema as N, select as S, sets, validate as V
 from faultline.session import checkpoint
