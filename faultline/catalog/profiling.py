@@ -60,10 +60,10 @@ def completeness(spark, folder):
 
 
 @register("recommendations", f"""WITH {GAPPY_SQL}, p AS ({PROFILE_SQL})
-SELECT 'mostly missing' AS kind, "column" AS subject, null_pct AS measure FROM p WHERE null_pct > 50
-UNION ALL SELECT 'few events after the cutoff', 'events', count(*)::DOUBLE FROM orders
+SELECT 'HIGH' AS priority, 'mostly missing' AS kind, "column" AS subject, null_pct AS measure FROM p WHERE null_pct > 50
+UNION ALL SELECT 'MEDIUM', 'few events after the cutoff', 'events', count(*)::DOUBLE FROM orders
  WHERE o_orderdate > TIMESTAMP '{CUTOFF}' HAVING count(*) < 1000000000
-UNION ALL SELECT 'many text columns', 'columns', count(*)::DOUBLE FROM p WHERE data_type = 'string' HAVING count(*) > 1""")
+UNION ALL SELECT 'MEDIUM', 'many text columns', 'columns', count(*)::DOUBLE FROM p WHERE data_type = 'string' HAVING count(*) > 1""")
 def recommendations(spark, folder):
     from faultline.operators.clean import future
 
@@ -206,6 +206,27 @@ def quality_scorecard(spark, folder):
     return rounded(P.quality_scorecard(x, "cust", "status", "placed", "placed", "price", ["cust", "price"]), "value")
 
 
+@register("raw_scorecard", """
+WITH x AS (SELECT l_returnflag, l_linestatus, l_quantity, NULL::DOUBLE AS nothing FROM lineitem)
+SELECT 'no empty columns' AS criterion, 1.0::DOUBLE AS value, false AS passed
+UNION ALL SELECT 'key columns present', 1.0, true
+UNION ALL SELECT 'sufficient rows', count(*)::DOUBLE, count(*) >= 100 FROM x
+UNION ALL SELECT 'no duplicates', (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM x)))::DOUBLE,
+ count(*) = (SELECT count(*) FROM (SELECT DISTINCT * FROM x)) FROM x""")
+def raw_scorecard(spark, folder):
+    li = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", F.lit(None).cast("double").alias("nothing"))
+    return P.raw_scorecard(li, ["l_returnflag", "l_quantity"])
+
+
+@register("optional_criteria", f"""WITH {GAPPY_SQL}
+SELECT 'brand' AS criterion, round(greatest(count(cust), count(prio)) / count(*) * 100, 6) AS value,
+ greatest(count(cust), count(prio)) / count(*) * 100 > 70 AS passed FROM x
+UNION ALL SELECT 'rating', round(count(price) / count(*) * 100, 6), count(price) / count(*) * 100 > 80 FROM x""")
+def optional_criteria(spark, folder):
+    wanted = {"brand": (["cust", "prio"], 70.0), "rating": (["kva", "price"], 80.0), "voltage": (["volts"], 80.0)}
+    return rounded(P.optional_criteria(gappy(spark, folder), wanted), "value")
+
+
 @register("quality_rating", """
 WITH x AS (SELECT count(o_custkey) / count(*) * 100 AS a, count(*) AS n FROM orders)
 SELECT CAST((a > 90)::INT + (n > 10)::INT AS BIGINT) AS score, CAST(2 AS BIGINT) AS "of",

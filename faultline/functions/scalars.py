@@ -113,7 +113,7 @@ def time_since_last_normalized(days: Column | str, mtbf: Column | str) -> Column
 
 
 def overdue_factor(days: Column | str, mtbf: Column | str, n: Column | str) -> Column:
-    return F.when((col(mtbf) > 0) & _or_false(col(n) != 0), col(days) / col(mtbf))
+    return F.when((col(mtbf) > 0) & ~_or_false(col(n) == 0), col(days) / col(mtbf))
 
 
 def overdue_band(factor: Column | str) -> Column:

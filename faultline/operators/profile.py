@@ -67,13 +67,13 @@ def completeness(report: DataFrame) -> DataFrame:
 def recommendations(report: DataFrame, post_cutoff_events: DataFrame, min_events: int, max_text: int) -> DataFrame:
     """Advice rows: columns mostly missing, too few events after the cutoff, many text columns."""
     empty = report.filter(F.col("null_pct") > 50).select(
-        F.lit("mostly missing").alias("kind"), F.col("column").alias("subject"), F.col("null_pct").alias("measure"))
+        F.lit("HIGH").alias("priority"), F.lit("mostly missing").alias("kind"), F.col("column").alias("subject"), F.col("null_pct").alias("measure"))
     few = post_cutoff_events.filter(F.col("n") < min_events).select(
-        F.lit("few events after the cutoff").alias("kind"), F.lit("events").alias("subject"),
+        F.lit("MEDIUM").alias("priority"), F.lit("few events after the cutoff").alias("kind"), F.lit("events").alias("subject"),
         F.col("n").cast("double").alias("measure"))
     text = report.filter(F.col("data_type") == "string").agg(F.count(F.lit(1)).alias("n"))
     many = text.filter(F.col("n") > max_text).select(
-        F.lit("many text columns").alias("kind"), F.lit("columns").alias("subject"),
+        F.lit("MEDIUM").alias("priority"), F.lit("many text columns").alias("kind"), F.lit("columns").alias("subject"),
         F.col("n").cast("double").alias("measure"))
     return empty.unionByName(few).unionByName(many)
 
@@ -257,6 +257,34 @@ def quality_scorecard(df: DataFrame, entity: str, asset_class: str, install: str
     return base.unionByName(unique).unionByName(variety)
 
 
+def optional_criteria(df: DataFrame, criteria: Mapping[str, tuple[Sequence[str], float]]) -> DataFrame:
+    """Extra criteria on columns a table may lack: the best filled of the present ones against a limit.
+
+    A criterion none of whose columns is present is left out.
+    """
+    present = {n: ([c for c in cols if c in df.columns], limit) for n, (cols, limit) in criteria.items()}
+    usable = {}
+    for name, (cols, limit) in present.items():
+        shares = [filled_pct(c) for c in cols]
+        if shares:
+            usable[name] = (F.greatest(*shares) if len(shares) > 1 else shares[0], limit, ">")
+    if not usable:
+        return df.limit(0).select(F.lit("").alias("criterion"), F.lit(0.0).alias("value"), F.lit(True).alias("passed"))
+    return scorecard(df, usable)
+
+
+def raw_scorecard(df: DataFrame, key_columns: Sequence[str], min_rows: int = 100) -> DataFrame:
+    """First look at an input: no empty column, key columns there, enough rows, no repeated rows."""
+    empty = sum(((F.count(f"`{c}`") == 0).cast("int") for c in df.columns), F.lit(0))
+    present = F.lit(int(all(c in df.columns for c in key_columns)))
+    base = scorecard(df, {
+        "no empty columns": (empty, 0.0, "<="), "key columns present": (F.max(present), 1.0, ">="),
+        "sufficient rows": (F.count(F.lit(1)), float(min_rows), ">=")})
+    distinct_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    copies = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    return base.unionByName(scorecard(distinct_rows, {"no duplicates": (copies, 0.0, "<=")}))
+
+
 def rated(card: DataFrame) -> DataFrame:
     return card.agg(F.count_if("passed").alias("score"), F.count(F.lit(1)).alias("of")).withColumn(
         "rating", S.quality_rating("score"))
