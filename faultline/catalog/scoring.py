@@ -33,7 +33,7 @@ def _metrics_sql(y: str, by: str = "") -> str:
 k AS (SELECT *, sum(pos) OVER ({part}ORDER BY p DESC) AS tp, sum(neg) OVER ({part}ORDER BY p DESC) AS fp,
   sum(neg) OVER ({part}ORDER BY p) - neg AS below, sum(pos) OVER ({f'PARTITION BY {by}' if by else ''}) AS pt,
   sum(neg) OVER ({f'PARTITION BY {by}' if by else ''}) AS nt FROM c),
-r AS (SELECT {key}sum(pos * (below + neg / 2)) / (any_value(pt) * any_value(nt)) AS auc, sum(pos / pt * (tp / (tp + fp))) AS ap
+r AS (SELECT {key}sum(pos * (below + neg / 2)) / nullif(any_value(pt) * any_value(nt), 0) AS auc, sum(pos / nullif(pt, 0) * (tp / (tp + fp))) AS ap
   FROM k {g}),
 t AS (SELECT {key}count(*) FILTER (p >= 0.5 AND {y} = 1) AS tp, count(*) FILTER (p >= 0.5 AND {y} = 0) AS fp,
   count(*) FILTER (p < 0.5 AND {y} = 1) AS fn FROM s {g})

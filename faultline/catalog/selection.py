@@ -217,6 +217,16 @@ def variance_inflation(spark, folder):
     return spark.createDataFrame(rows, "feature string, vif double")
 
 
+@register("variance_inflation_pair", """
+WITH g AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_tax * l_tax) AS b, sum(l_quantity * l_tax) AS c FROM lineitem)
+SELECT 'l_quantity' AS feature, round(1 / (1 - c * c / (a * b)), 6) AS vif FROM g
+UNION ALL SELECT 'l_tax', round(1 / (1 - c * c / (a * b)), 6) FROM g""")
+def variance_inflation_pair(spark, folder):
+    li = table(spark, folder, "lineitem").select("l_quantity", "l_tax")
+    rows = [(c, round(float(v), 6)) for c, v in S.vif_table(li, li.columns).items()]
+    return spark.createDataFrame(rows, "feature string, vif double")
+
+
 @register("vif_selection")
 def vif_selection(spark, folder):
     df = candidates(spark, folder)

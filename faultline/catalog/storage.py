@@ -8,7 +8,6 @@ from faultline import vocabulary
 from faultline.catalog import register, table
 from faultline.catalog.assets import CUTOFF, fault_log
 from faultline.catalog.cleaning import DATE_TEXT_SQL, PARSED_SQL, date_text
-from faultline.functions.dates import moment
 from faultline.operators import clean, profile as P, schema as N
 from faultline.session import scratch_folder
 from faultline.sources import tables as R
@@ -41,8 +40,7 @@ def loaded_assets(spark, folder):
 def monthly_log(spark, folder):
     path = scratch_folder(spark)
     R.write_log_by_month(table(spark, folder, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", path)
-    months = R.read_table(spark, path).filter(F.col("event_month").cast("string").between("2000-03", "2000-04"))
-    return months.filter((F.col("o_orderdate") >= moment("2000-03-01 00:00:00")) & (F.col("o_orderdate") < moment("2000-05-01 00:00:00"))).drop("event_month")
+    return R.read_log_between(spark, path, "o_orderdate", "2000-03-01 00:00:00", "2000-05-01 00:00:00")
 
 
 @register("rejected_events", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000")

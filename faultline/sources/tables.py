@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from faultline.functions.dates import parse_date
+from faultline.functions.dates import moment, parse_date
 from faultline.operators.clean import split
 
 
@@ -56,6 +56,13 @@ def write_log_by_month(df: DataFrame, ts: str, path: str) -> None:
     write_table(df.withColumn("event_month", F.date_format(ts, "yyyy-MM")), path, ["event_month"])
 
 
+def read_log_between(spark: SparkSession, path: str, ts: str, start: str, end: str) -> DataFrame:
+    """Events in [start, end) of a log written by month: the months prune folders, the bounds reach the files."""
+    log = spark.read.parquet(path)
+    months = F.col("event_month").cast("string").between(start[:7], end[:7])
+    return log.filter(months & (F.col(ts) >= moment(start)) & (F.col(ts) < moment(end))).drop("event_month")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
