@@ -212,6 +212,10 @@ def load_model(path: str, cls=PipelineModel):
     return cls.load(path)
 
 
+METRIC_SCHEMA = ("horizon string, model string, auc double, average_precision double, precision double, recall double, "
+                 "f1 double")
+
+
 @dataclass(frozen=True)
 class Fold:
     name: str
@@ -240,7 +244,7 @@ def walk_forward(prepared: Prepared, entity: str, year: str, horizons: Sequence[
             model = fit_classifier(prepared.table.filter(F.col(year).isin(*f.train_years)), label, s, entity)
             rows.append(evaluate(model, prepared.table.filter(F.col(year).isin(*f.test_years)), label, h, f.name))
     if not rows:
-        raise ValueError("every fold is too small")
+        return prepared.table.sparkSession.createDataFrame([], METRIC_SCHEMA)
     return union_all(rows)
 
 
