@@ -146,7 +146,7 @@ def best_calibration(spark, folder):
  UNION ALL SELECT lang, 'reverse', quality, 1 - p FROM s),
 c AS (SELECT horizon, model, p, count(*) FILTER (quality = 1) AS pos, count(*) FILTER (quality = 0) AS neg FROM z GROUP BY 1, 2, 3),
 k AS (SELECT *, sum(neg) OVER (PARTITION BY horizon, model ORDER BY p) - neg AS below FROM c),
-r AS (SELECT horizon, model, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc FROM k GROUP BY 1, 2)
+r AS (SELECT horizon, model, sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0) AS auc FROM k GROUP BY 1, 2)
 SELECT horizon, model, round(auc, 8) AS auc, model = arg_max(model, (auc, model)) OVER (PARTITION BY horizon) AS is_best FROM r""")
 def model_comparison(spark, folder):
     s = scored(spark, folder).withColumnRenamed("lang", "horizon")
