@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,3 +30,17 @@ def keep(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+_SPACES = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_chunks(data: bytes, size: int = 1 << 20, lower: bool = True) -> Iterator[list[bytes]]:
+    """The words of a text in UTF-8, A-Z lower-cased, in lists of bounded size: cut at white space every ``size`` bytes."""
+    at = 0
+    while at < len(data):
+        space = _SPACES.search(data, min(len(data), at + size))
+        end = space.start() if space else len(data)
+        part = data[at:end]
+        yield (part.lower() if lower else part).split()
+        at = end
