@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import golay, mixing, packing, rules, topk
+from faultline.llm import golay, langid, mixing, packing, quality, rules, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op4_golay(spark: SparkSession, folder: str) -> DataFrame:
     return golay.near_duplicates(_table(spark, folder, "documents"))
 
@@ -31,10 +35,15 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
 def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = rules.apply_rules(_table(spark, folder, "documents"))
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_golay, op5_topk, op7_packing, op10_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_mixing, op2_quality, op4_golay, op5_topk, op7_packing, op8_langid, op10_rules)}
 SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op10_rules": rules.sql()}
