@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import golay, langid, mixing, packing, quality, rules, topk
+from faultline.llm import golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_groups(_table(spark, folder, "documents"))
+
+
 def op4_golay(spark: SparkSession, folder: str) -> DataFrame:
     return golay.near_duplicates(_table(spark, folder, "documents"))
 
@@ -31,6 +35,10 @@ def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(_table(spark, folder, "embeddings"))
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards(_table(spark, folder, "documents"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
@@ -39,11 +47,15 @@ def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_table(spark, folder, "documents"))
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
 def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = rules.apply_rules(_table(spark, folder, "documents"))
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_mixing, op2_quality, op4_golay, op5_topk, op7_packing, op8_langid, op10_rules)}
-SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op10_rules": rules.sql()}
+    op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules)}
+SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(), "op10_rules": rules.sql()}
