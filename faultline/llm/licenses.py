@@ -1,7 +1,7 @@
 """License scans: winnowed template fingerprints pick candidates, banded alignment measures them.
 
-A template's words are cut into runs of three; of every window of four runs the one with the smallest hash goes into an
-inverted index (run to template and place). All runs of a document are looked up, so any four runs in a row that it
+A template's words are cut into runs of three; of every window of four runs the one with the smallest hash, those with a
+long word first, goes into an inverted index (run to template and place). All runs of a document are looked up, so any four runs in a row that it
 shares with a template are found. Hits of one template on nearby diagonals are one candidate; around it template and
 text are aligned word by word in a band, and the words that agree are the matched coverage. Matches that cover
 at least 80 % of a template are reported, one row for each occurrence, with their place in characters.
@@ -73,7 +73,7 @@ class Index:
             for i in range(max(1, len(runs) - WINDOW + 1)):
                 window = range(i, min(len(runs), i + WINDOW))
                 if len(window):
-                    chosen.add(min(window, key=lambda j: (hashes[j], -j)))
+                    chosen.add(min(window, key=lambda j: (max(map(len, runs[j])) < 6, hashes[j], -j)))
             for i in sorted(chosen):
                 self.at[runs[i]].append((name, i))
         left, self.anchors = set(self.at), []
