@@ -73,7 +73,7 @@ class Index:
             for i in range(max(1, len(runs) - WINDOW + 1)):
                 window = range(i, min(len(runs), i + WINDOW))
                 if len(window):
-                    chosen.add(min(window, key=lambda j: (max(map(len, runs[j])) < 6, hashes[j], -j)))
+                    chosen.add(min(window, key=lambda j: (-min(6, max(map(len, runs[j]))), hashes[j], -j)))
             for i in sorted(chosen):
                 self.at[runs[i]].append((name, i))
         left, self.anchors = set(self.at), []
