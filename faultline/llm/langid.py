@@ -86,7 +86,8 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = np.flatnonzero(counts)
             if len(at):
                 out.append((lang, key, at.astype(np.int32), (counts[at] / counts.sum()).astype(np.float32)))
-        yield pd.DataFrame(out, columns=["lang", "doc_id", "gram", "share"])
+        if out:
+            yield pd.DataFrame(out, columns=["lang", "doc_id", "gram", "share"])
 
 
 def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:

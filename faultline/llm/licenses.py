@@ -156,7 +156,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
         index = Index(used)
         for pdf in batches:
             rows = [(key, *match) for key, text in zip(pdf["doc_id"], pdf["text"]) for match in scan_text(text, index, coverage)]
-            yield pd.DataFrame(rows, columns=["doc_id", *names])
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", *names])
 
     named = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     found = named.mapInPandas(run, "doc_id string, license string, matched_words long, template_words long, coverage double, "
