@@ -8,7 +8,7 @@ pass filters by that score and orders what is left by score and id.
 A block of rows counts its own k best of the open bin only: the k-th best of all rows is never below that of a block.
 
 Rows whose vector is null, empty or holds null or non-finite components take no part. Only vectors of the same length are
-compared. A query's own row is every row with its id; repeated rows with another id are candidates each, and a repeated
+compared. Scores fit in 64 bits; one that doesn't raises an error. A query's own row is every row with its id; repeated rows with another id are candidates each, and a repeated
 query is answered once. A null id is no query; as a candidate it comes after all ids. Fewer candidates than k: all of
 them. Empty tables give an empty result. Other columns may have any names.
 """
@@ -33,7 +33,7 @@ BATCH_CELLS = 1 << 20
 BLOCK_CELLS = 1 << 22
 
 NO_ID = (1 << 63) - 1
-NO_SCORE = -(1 << 62)
+NO_SCORE = -(1 << 63)
 
 
 def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
@@ -67,8 +67,9 @@ def _count(batches: Iterator[pd.DataFrame], ids: np.ndarray, queries: np.ndarray
            shift: int, k: int) -> Iterator[pd.DataFrame]:
     """Histogram rows (query, bin, n) of the scores in each query's open bin [base, base + width)."""
     for _, scores in _scores(batches, ids, queries):
-        inside = (scores >= base[:, None]) & (scores - base[:, None] < width[:, None])
-        bins = np.where(inside, (scores - base[:, None]) >> shift, -1)
+        above = scores.view(np.uint64) - base.view(np.uint64)[:, None]
+        inside = (scores >= base[:, None]) & (above < width[:, None])
+        bins = np.where(inside, (above >> np.uint64(shift)).view(np.int64), -1)
         if bins.shape[1] > k:
             bins = np.partition(bins, bins.shape[1] - k, axis=1)[:, -k:]
         rows, cols = np.nonzero(bins >= 0)
@@ -117,9 +118,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCAL
 
 
 def _search_batch(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, peak: float, k: int) -> DataFrame:
-    bound = int(peak * 1.000001) + 1  # no score is larger, by Cauchy and Schwarz
+    bound = min(int(peak * 1.000001) + 1, -NO_SCORE - 1)  # no score is larger, by Cauchy and Schwarz
     total = bound.bit_length() + 1
-    base, width = np.full(len(ids), -bound, np.int64), np.full(len(ids), 2 * bound + 1, np.int64)
+    base, width = np.full(len(ids), -bound, np.int64), np.full(len(ids), 2 * bound + 1, np.uint64)
     wanted = np.full(len(ids), k, np.int64)
     for shift in range(max(0, total - BITS), -BITS, -BITS):
         shift = max(shift, 0)
@@ -129,10 +130,11 @@ def _search_batch(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, peak: f
         upto = counted.groupBy("q", "bin").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down))
         found = upto.join(need, "q").where("upto >= wanted and upto - n < wanted").select("q", "bin", F.expr("wanted - upto + n").alias("wanted"))
         found = found.toPandas()  # one row for each query of the batch
-        q, at = found["q"].to_numpy(np.int64), found["bin"].to_numpy(np.int64)
+        q, at = found["q"].to_numpy(np.int64), found["bin"].to_numpy(np.uint64)
         few = np.setdiff1d(np.arange(len(ids)), q)  # with less than k candidates all are taken
         base[few], width[few] = NO_SCORE + 1, 0
-        base[q], width[q], wanted[q] = base[q] + (at << shift), 1 << shift, found["wanted"].to_numpy(np.int64)
+        base[q] = (base[q].view(np.uint64) + (at << np.uint64(shift))).view(np.int64)
+        width[q], wanted[q] = np.uint64(1 << shift), found["wanted"].to_numpy(np.int64)
         if shift == 0:
             break
     return rows.mapInPandas(lambda it: _select(it, ids, queries, base, k), "query_id long, vec_id long, score long")
