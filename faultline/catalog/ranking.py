@@ -52,7 +52,7 @@ def top_k_per_group(spark, folder):
 
 
 @register("best_per_group", """
-SELECT l_suppkey, arg_max(l_partkey, l_extendedprice) AS l_partkey, max(l_extendedprice) AS l_extendedprice FROM lineitem
+SELECT l_suppkey, first(l_partkey ORDER BY l_extendedprice DESC NULLS LAST, l_partkey) AS l_partkey, max(l_extendedprice) AS l_extendedprice FROM lineitem
 GROUP BY 1""")
 def best_per_group(spark, folder):
     li = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey", "l_extendedprice")

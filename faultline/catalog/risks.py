@@ -286,7 +286,7 @@ def assembled_assets(spark, folder):
 SELECT o_orderkey, o_custkey, c_mktsegment, n_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN nation ON n_nationkey = c_nationkey""")
 def attached_features(spark, folder):
-    n = sets.broadcast_if_small(table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    n = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     c = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
     o = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return sets.attach(sets.attach(o, c, "o_custkey"), n, "c_nationkey").drop("c_nationkey")

@@ -134,7 +134,7 @@ def calibration_improvement(spark, folder):
                    "isotonic_improvement", "platt_improvement")
 
 
-@register("best_calibration", f"{LOSS_SQL} SELECT horizon, arg_min(model, calibration_error) AS model FROM e GROUP BY 1")
+@register("best_calibration", f"{LOSS_SQL} SELECT horizon, first(model ORDER BY calibration_error NULLS LAST, model) AS model FROM e GROUP BY 1")
 def best_calibration(spark, folder):
     from faultline.operators.ordered import best_by
 

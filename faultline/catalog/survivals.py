@@ -109,7 +109,7 @@ p AS (SELECT count(*) FILTER (b.risk < a.risk) AS c, count(*) FILTER (b.risk = a
 SELECT c::DOUBLE AS concordant, t::DOUBLE AS tied, n::DOUBLE AS comparable, round((c + t * 0.5) / n, 9) AS c_index FROM p""")
 def concordance_index(spark, folder):
     x = classed(spark, folder).select("time_to_event", "event_occurred", F.round(F.col("c_acctbal") / 100).alias("risk"))
-    return rounded(V.concordance(checkpoint(x), "time_to_event", "event_occurred", "risk", max_days=4096), "c_index", digits=9)
+    return rounded(V.concordance(checkpoint(x), "time_to_event", "event_occurred", "risk"), "c_index", digits=9)
 
 
 def cox_inputs(spark, folder):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 # Label horizons in calendar months, feature windows in days.
 HORIZON_MONTHS = {"3M": 3, "6M": 6, "12M": 12}
 HORIZON_DAYS = {"3M": 90, "6M": 180, "12M": 365}
@@ -109,10 +107,5 @@ CATEGORY_RULES = (
 
 CORRELATION_LIMIT = 0.85
 VIF_TARGET = 10.0
-NEAR_CONSTANT_RATIO = 0.01
+NEAR_CONSTANT_SHARE = 0.99
 NEAR_CONSTANT_VARIANCE = 0.001
-
-
-def broadcast_rows(default: int = 100_000) -> int:
-    """Largest lookup, in rows, that the library hints as a broadcast."""
-    return int(os.environ.get("FAULTLINE_BROADCAST_ROWS", default))

@@ -19,7 +19,11 @@ def _counted(df: DataFrame, label: str, score: str, digits: int) -> DataFrame:
 
 
 def calibrate_isotonic(held_out: DataFrame, label: str, score: str, digits: int = 6):
-    """Monotone step fit; rows with one score are averaged first, which leaves the fit unchanged."""
+    """Monotone step fit of bounded size.
+
+    Scores are rounded to ``digits`` decimals and averaged per rounded score, so at most 10^digits + 1 rows are
+    fitted. Rows of one score don't change the fit by that; scores closer than the grid share a step.
+    """
     rows = _counted(held_out, label, score, digits)
     return IsotonicRegression(featuresCol="score", labelCol="label", weightCol="weight").fit(rows)
 

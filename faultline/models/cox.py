@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from faultline import config
 from faultline.functions import scalars as S
@@ -28,6 +28,7 @@ class CoxModel:
     log_likelihood: float
     gradient: np.ndarray
     iterations: int
+    converged: bool  # the gradient met the tolerance
 
     def log_risk(self) -> Column:
         parts = [(F.col(f"`{c}`").cast("double") - float(m)) * float(b / s)
@@ -45,9 +46,9 @@ class CoxModel:
 
 
 # Sums over the d tied events of one day, l = 0 .. d-1, of f, f squared and -log f, with
-# f = 1 / (s - l/d * e). Few ties are summed; for many the sums are differences of polygamma values
+# f = 1 / (s - l/d * e). A handful of ties is summed; beyond, the sums are differences of polygamma values
 # (shifted asymptotic series), so the cost of a day does not grow with its number of events.
-_DIRECT_TIES = 4096
+_DIRECT_TIES = 8
 _SHIFT = range(12)
 
 
@@ -122,8 +123,13 @@ def _step(rows: DataFrame, p: int, beta: np.ndarray) -> tuple[float, np.ndarray,
 
 
 def fit_cox(records: DataFrame, time: str, event: str, features: Sequence[str], penalty: float = 0.1,
-            max_steps: int = 25, tolerance: float = 1e-7) -> CoxModel:
-    """Newton's method on the penalised partial likelihood of standardised features."""
+            max_steps: int = 100, tolerance: float = 1e-7) -> CoxModel:
+    """Newton's method on the penalised partial likelihood of standardised features.
+
+    ``time`` holds whole days: sums are kept per day. The model says whether it converged.
+    """
+    if not isinstance(records.schema[time].dataType, T.IntegralType):
+        raise ValueError(f"{time} must hold whole days")
     features = list(features)
     p = len(features)
     stats = records.agg(F.count(F.lit(1)).alias("n"), *[
@@ -149,9 +155,12 @@ def fit_cox(records: DataFrame, time: str, event: str, features: Sequence[str],
         size = 1.0
         while True:  # halve until the likelihood improves
             trial = objective(beta + size * direction)
-            if trial[0] >= value - 1e-12 * abs(value) or size < 1e-4:
+            better = trial[0] >= value - 1e-12 * abs(value)
+            if better or size < 1e-10:
                 break
             size /= 2
+        if not better:
+            break
         beta = beta + size * direction
         value, grad, info = trial
         steps += 1
@@ -161,7 +170,8 @@ def fit_cox(records: DataFrame, time: str, event: str, features: Sequence[str],
     later = Window.partitionBy(F.lit(0)).orderBy(F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, 0)
     base = daily.withColumn("s", F.sum("s").over(later)).orderBy("_t").toPandas()  # one row per day
     hazard = np.cumsum(base["d"].to_numpy(float) / base["s"].to_numpy(float))
-    return CoxModel(features, mean, scale, beta, base["_t"].to_numpy(float), hazard, value, grad, steps)
+    return CoxModel(features, mean, scale, beta, base["_t"].to_numpy(float), hazard, value, grad, steps,
+                    bool(np.max(np.abs(grad)) / n <= tolerance))
 
 
 def survival_pof(model: CoxModel | None, assets: DataFrame, entity: str,

@@ -30,10 +30,10 @@ def _search(k: int):
         q, p = np.stack(queries["x"].to_numpy()), np.stack(points["x"].to_numpy())
         q_id, p_id = queries["id"].to_numpy(), points["id"].to_numpy()
         parts = []
-        for start in range(0, len(q), 512):
-            chunk, ids = q[start:start + 512], q_id[start:start + 512]
-            d = ((chunk[:, None, :] - p[None, :, :]) ** 2).sum(axis=2) if p.shape[0] * p.shape[1] <= 200_000 else (
-                (chunk**2).sum(1)[:, None] + (p**2).sum(1)[None, :] - 2 * chunk @ p.T).clip(min=0)
+        step = max(1, 4_000_000 // p.size)  # one formula for blocks of any size, at most 32 MB of differences
+        for start in range(0, len(q), step):
+            chunk, ids = q[start:start + step], q_id[start:start + step]
+            d = ((chunk[:, None, :] - p[None, :, :]) ** 2).sum(axis=2)
             d[ids[:, None] == p_id[None, :]] = np.inf
             m = min(k, d.shape[1])
             # Ties are broken by id, so results do not depend on row order.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -94,7 +94,7 @@ class Settings:
     min_rows: int = 3
     subsample: float = 0.8
     seed: int = 42
-    max_categories: int = 32
+    max_categories: int = 32  # raised to the number of labels of the widest text column
     grid: Mapping[str, Sequence] = field(default_factory=dict)
 
 
@@ -103,20 +103,29 @@ def estimator(label: str, s: Settings):
     features = "indexed" if s.family != "boosted" else "features"
     if s.family == "forest":
         tree = RandomForestClassifier(labelCol=label, featuresCol=features, weightCol="weight", numTrees=s.max_iter,
-                                      maxDepth=s.depth, seed=s.seed, subsamplingRate=s.subsample, minInstancesPerNode=s.min_rows)
+                                      maxDepth=s.depth, seed=s.seed, subsamplingRate=s.subsample, minInstancesPerNode=s.min_rows, maxBins=max(32, s.max_categories))
     else:
         tree = GBTClassifier(labelCol=label, featuresCol=features, weightCol="weight", maxIter=s.max_iter, maxDepth=s.depth,
-                             stepSize=s.step, minInstancesPerNode=s.min_rows, subsamplingRate=s.subsample, seed=s.seed)
+                             stepSize=s.step, minInstancesPerNode=s.min_rows, subsamplingRate=s.subsample, seed=s.seed, maxBins=max(32, s.max_categories))
     stages = [tree]
     if s.family != "boosted":
         stages.insert(0, VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=s.max_categories, handleInvalid="keep"))
     return Pipeline(stages=stages), tree
 
 
+def _wide_enough(train: DataFrame, s: Settings) -> Settings:
+    """Settings under which every encoded text column stays categorical."""
+    codes = [c for c in train.columns if c.endswith("_code")]
+    if s.family == "boosted" or not codes:
+        return s
+    widest = train.select(F.coalesce(F.greatest(F.lit(0), *[F.max(F.col(f"`{c}`")) for c in codes]), F.lit(0)).alias("m")).first()["m"]
+    return replace(s, max_categories=max(s.max_categories, int(widest) + 2))  # unseen labels get one more
+
+
 def fit_classifier(train: DataFrame, label: str, s: Settings, entity: str) -> PipelineModel:
     """Fit on class-weighted rows; with a grid, the best of a stratified cross-validation by AUC."""
     rows = weighted(train, label, balanced=s.family == "categorical")
-    pipeline, tree = estimator(label, s)
+    pipeline, tree = estimator(label, _wide_enough(train, s))
     if not s.grid:
         return pipeline.fit(rows)
     return tune(pipeline, {tree.getParam(k): v for k, v in s.grid.items()}, rows, label, entity)
@@ -127,7 +136,7 @@ def tune(pipeline, grid: Mapping, rows: DataFrame, label: str, entity: str, raw:
     builder = ParamGridBuilder()
     for param, values in grid.items():
         builder = builder.addGrid(param, list(values))
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC")
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=0)  # exact
     folded = checkpoint(with_folds(rows, entity, [label], folds))
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=folds,
                         foldCol="fold", parallelism=parallelism)

@@ -240,7 +240,10 @@ def top_k_per(df: DataFrame, by: Sequence[str], score: str, tiebreak: str, k: in
 
 
 def best_by(df: DataFrame, by: Sequence[str], metric: str, largest: bool = True) -> DataFrame:
+    """The row with the best metric of each group. An undefined metric (NaN, null) never beats a number; of equal
+    rows the first by the other columns, in their order, wins."""
     rest = [c for c in df.columns if c not in by]
-    pick = F.max_by if largest else F.min_by
-    return df.groupBy(*by).agg(pick(F.struct(*rest), F.col(metric)).alias("_row")).select(*by, "_row.*").select(
-        *df.columns)
+    value = F.col(metric).cast("double")
+    value = F.when(~F.isnan(value), -value if largest else value)
+    order = F.struct(value.isNull(), value, *rest)
+    return df.groupBy(*by).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*by, "_row.*").select(*df.columns)

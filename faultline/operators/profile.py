@@ -54,6 +54,15 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         F.round(nulls / F.col("n_rows") * 100.0, 2).alias("null_pct"), "n_distinct", "sample_value")
 
 
+def value_spread(df: DataFrame) -> DataFrame:
+    """Per column: rows, filled rows, distinct values and rows of the most frequent value."""
+    counts = _long(df, df.columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    filled = F.when(F.col("value").isNotNull(), F.col("n"))
+    return counts.groupBy("column").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(filled), F.lit(0)).alias("non_null"), F.count("value").alias("n_distinct"),
+        F.max(filled).alias("n_most"))
+
+
 def missing_bands(report: DataFrame) -> DataFrame:
     return report.filter(F.col("n_null") > 0).select(
         "column", "n_null", "null_pct", S.missing_band("null_pct").alias("band"))

@@ -24,11 +24,11 @@ class SelectionConfig:
     protected: Sequence[str] = ()
     protect_from_correlation: bool = False
     names: dict[str, str] = field(default_factory=dict)  # translations, used by the protected-name test
-    near_constant_ratio: float = config.NEAR_CONSTANT_RATIO
+    near_constant_share: float = config.NEAR_CONSTANT_SHARE  # of the most frequent value
+    near_constant_ratio: float | None = None  # distinct values per row; its verdict depends on the number of rows
     near_constant_variance: float = config.NEAR_CONSTANT_VARIANCE
     correlation_limit: float = config.CORRELATION_LIMIT
     vif_target: float = config.VIF_TARGET
-    vif_rounds: int = 50
 
 
 @dataclass
@@ -48,9 +48,9 @@ def _protected(cfg: SelectionConfig) -> Callable[[str], bool]:
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Distinct values, rows, filled share and variance per column."""
-    report = P.profile(df.select(*[F.col(f"`{c}`") for c in columns]))
-    stats = {r["column"]: {"distinct": r["n_distinct"], "rows": r["n_rows"], "filled": r["non_null"]}
+    """Distinct values, rows, filled rows, rows of the most frequent value and variance per column."""
+    report = P.value_spread(df.select(*[F.col(f"`{c}`") for c in columns]))
+    stats = {r["column"]: {"distinct": r["n_distinct"], "rows": r["n_rows"], "filled": r["non_null"], "most": r["n_most"]}
              for r in report.collect()}  # one row per column
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
     if numeric:
@@ -61,26 +61,27 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
 
 
 def find_constant(stats: dict[str, dict], protected: Callable[[str], bool]) -> list[Decision]:
-    return [Decision(c, "REMOVED_CONSTANT", f"Single unique value ({s['distinct']})", 1)
+    return [Decision(c, "REMOVED_CONSTANT", f"holds {s['distinct']} distinct value(s), at least 2 wanted", 1)
             for c, s in stats.items() if s["distinct"] <= 1 and not protected(c)]
 
 
 def find_near_constant(stats: dict[str, dict], cfg: SelectionConfig, protected: Callable[[str], bool]) -> list[Decision]:
-    """Low variance, or few distinct values for the rows. The ratio rule applies to continuous numbers only:
-    on large tables it would drop every flag and category."""
+    """Low variance, or one value that nearly all filled rows share; both are the same on any number of copies."""
     out = []
     for c, s in stats.items():
         if s["distinct"] <= 1 or protected(c) or s.get("variance") is None:
             continue
         low = s["variance"] < cfg.near_constant_variance
-        few = s["distinct"] > 20 and s["distinct"] / s["rows"] < cfg.near_constant_ratio
-        if low or few:
-            out.append(Decision(c, "REMOVED_NEAR_CONSTANT", f"Low variance ({s['variance']:.6f}) or few unique ({s['distinct']})", 1))
+        share = s["most"] / s["filled"]
+        few = cfg.near_constant_ratio is not None and s["distinct"] / s["rows"] < cfg.near_constant_ratio
+        if low or share > cfg.near_constant_share or few:
+            measured = f"variance {s['variance']:.6g} (least {cfg.near_constant_variance:g}), top value {share:.2%} (most {cfg.near_constant_share:.0%})"
+            out.append(Decision(c, "REMOVED_NEAR_CONSTANT", measured, 1))
     return out
 
 
 def find_leaky(columns: Sequence[str], protected: Callable[[str], bool]) -> list[Decision]:
-    return [Decision(c, "REMOVED_LEAKAGE", f"Leakage pattern detected: {kind}", 2)
+    return [Decision(c, "REMOVED_LEAKAGE", f"name tells the outcome ({kind})", 2)
             for c, kind in N.leaky_names(columns).items() if not protected(c)]
 
 
@@ -98,7 +99,7 @@ def find_correlated(df: DataFrame, columns: Sequence[str], stats: dict[str, dict
                 continue
             drop, keep = (b, a) if stats[a]["filled"] >= stats[b]["filled"] else (a, b)
             if drop not in out and not protected(drop):
-                out[drop] = Decision(drop, "REMOVED_HIGH_CORRELATION", f"Corr={abs(r):.3f} with {keep}", 3)
+                out[drop] = Decision(drop, "REMOVED_HIGH_CORRELATION", f"|r| to {keep} is {abs(r):.3f}, most {limit:g}", 3)
     return list(out.values())
 
 
@@ -141,14 +142,12 @@ def vif_select(df: DataFrame, columns: Sequence[str], cfg: SelectionConfig) -> t
     rows = P.impute(checkpoint(rows), median=[*numeric, *text])
     kept, g = [*numeric, *text], gram(rows, [*numeric, *text])
     removed = []
-    for _ in range(cfg.vif_rounds):
-        if len(kept) < 2:
-            break
+    while len(kept) > 1:
         v = vif_of(g)
         worst = int(np.argmax(v))
         if v[worst] <= cfg.vif_target or (v[worst] <= 15 and len(kept) <= 20):
             break
-        removed.append(Decision(kept[worst], "REMOVED_HIGH_VIF", f"VIF={v[worst]:.1f} > {cfg.vif_target:g}", 4))
+        removed.append(Decision(kept[worst], "REMOVED_HIGH_VIF", f"variance inflation {v[worst]:.1f}, most {cfg.vif_target:g}", 4))
         kept.pop(worst)
         g = np.delete(np.delete(g, worst, 0), worst, 1)
     return kept, removed

@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from faultline import config
 
 
 def align(df: DataFrame, like: DataFrame, defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -75,9 +74,3 @@ def attach(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFr
 def assemble(base: DataFrame, parts: Sequence[DataFrame], on: str) -> DataFrame:
     """Chained left joins of per-asset tables: all share the key, so the base is shuffled once."""
     return reduce(lambda acc, p: acc.join(p, on, "left"), parts, base)
-
-
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only after counting that the table is within the limit; otherwise leave it alone."""
-    limit = config.broadcast_rows() if limit is None else limit
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -77,17 +77,20 @@ def median_survival(curve: DataFrame, by: str) -> DataFrame:
     return curve.groupBy(by).agg(F.min(F.when(F.col("survival") <= 0.5, F.col("time"))).alias("median_days"))
 
 
-def concordance(records: DataFrame, time: str, event: str, risk: str, max_days: int = 1 << 20) -> DataFrame:
+def concordance(records: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     """Concordance index over all comparable pairs, exactly, without forming pairs.
 
     Two records compare when the earlier one is an event (an event precedes a censoring on its day).
-    With k = 2 x day + censored, two different k part at one highest bit: the record with 0 there is
-    the earlier. Per bit and common prefix, counts by ascending risk give the number of later records
+    With k = 2 x day + censored (days counted from the first), two different k part at one highest bit:
+    the record with 0 there is the earlier. The number of bits comes from the times. Per bit and common prefix, counts by ascending risk give the number of later records
     below and level with each event, so the work is one sorted pass over (records x bits), and every
     group is cut into blocks.
     """
-    bits = (2 * max_days + 1).bit_length()
-    k = F.col(time).cast("bigint") * 2 + F.when(F.col(event) == 1, F.lit(0)).otherwise(F.lit(1))
+    day = F.col(time).cast("bigint")
+    span = records.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    low = span["lo"] or 0
+    bits = (2 * ((span["hi"] or 0) - low) + 1).bit_length()
+    k = (day - F.lit(low)) * 2 + F.when(F.col(event) == 1, F.lit(0)).otherwise(F.lit(1))
     counted = records.select(k.alias("_k"), F.col(risk).cast("double").alias("_risk"), F.col(event).alias("_e")).groupBy(
         "_k", "_risk", "_e").agg(F.count(F.lit(1)).alias("_c"))
     bit = F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("_bit")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from faultline.functions.dates import moment, parse_date
-from faultline.operators.clean import split
+from faultline.session import scratch_folder
 
 
 def load_fault_log(
@@ -28,14 +28,24 @@ def load_fault_log(
     reader = spark.read.format(fmt).options(**(options or ({"header": "true"} if fmt == "csv" else {})))
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     if id_column is not None:
-        # Ids may have been written as floats ("17.0") because of missing values.
-        df = df.withColumn(id_column, F.col(f"`{id_column}`").cast("string").try_cast("double").try_cast("bigint"))
+        df = df.withColumn(id_column, whole_id(F.col(f"`{id_column}`")))
     for c in date_columns:
         if not isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType)):
             df = df.withColumn(c, parse_date(F.col(f"`{c}`")))
     return df
 
 
+def whole_id(value: Column) -> Column:
+    """An id as bigint: whole numbers as they are; floats ("17.0", "1.7e1") only where they are whole and exact.
+
+    Anything else is no id and becomes null.
+    """
+    text = F.trim(value.cast("string"))
+    number = text.try_cast("double")
+    exact = (F.abs(number) <= F.lit(float(1 << 53))) & (number == F.floor(number))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")).when(exact, number.try_cast("bigint"))
+
+
 def load_assets(spark: SparkSession, path: str, renames: Mapping[str, str], schema: T.StructType | str | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """The asset table with source names mapped to ours."""
@@ -68,14 +78,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path holds readable data; asks the file system of the session through the reader."""
+    """Whether a path holds a table: its schema can be read. A missing or empty folder is none."""
     from pyspark.errors import AnalysisException
 
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        spark.read.parquet(path)
         return True
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
 
@@ -89,10 +99,15 @@ def first_available(spark: SparkSession, paths: Sequence[str]) -> tuple[str, Dat
 
 
 def write_split(df: DataFrame, rejected: Column, rejected_path: str) -> DataFrame:
-    """Write the rejected branch as an audit table and return the kept one."""
-    kept, bad = split(df, rejected)
-    write_table(bad, rejected_path)
-    return kept
+    """Write the rejected branch as an audit table and return the kept one; the input is computed once.
+
+    Rows without a verdict are kept. Both branches are written to a shared folder with the verdict as partition.
+    """
+    folder = scratch_folder(df.sparkSession)
+    df.withColumn("_rejected", F.coalesce(rejected, F.lit(False)).cast("int")).write.partitionBy("_rejected").parquet(folder)
+    stored = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_rejected", T.IntegerType())])).parquet(folder)
+    write_table(stored.filter("_rejected = 1").drop("_rejected"), rejected_path)
+    return stored.filter("_rejected = 0").drop("_rejected")
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str | Column] = ()) -> DataFrame:

@@ -67,10 +67,26 @@ def test_concordance_matches_all_pairs(survival):
                 total += 1
                 good += risk[i] > risk[j]
                 tied += risk[i] == risk[j]
-    r = V.concordance(df.withColumn("r", F.round("a", 1)), "t", "e", "r", max_days=int(t.max())).first()
+    r = V.concordance(df.withColumn("r", F.round("a", 1)), "t", "e", "r").first()
     assert (r["concordant"], r["tied"], r["comparable"]) == (good, tied, total)
 
 
+def test_concordance_of_long_times(spark):
+    rows = [(100, 1, 4.0), (9000, 1, 3.0), (20_000, 1, 2.0), (1_000_000, 0, 1.0), (-5, 1, 9.0)]
+    r = V.concordance(spark.createDataFrame(rows, "t long, e int, r double"), "t", "e", "r").first()
+    assert (r["comparable"], r["concordant"], r["c_index"]) == (10, 10, 1.0)
+    empty = V.concordance(spark.createDataFrame([], "t long, e int, r double"), "t", "e", "r").first()
+    assert empty["c_index"] is None
+
+
+def test_cox_wants_days_and_tells_convergence(spark, survival):
+    df = survival[3]
+    assert cox.fit_cox(df, "t", "e", ["a", "b"]).converged
+    assert not cox.fit_cox(df, "t", "e", ["a", "b"], max_steps=1).converged
+    with pytest.raises(ValueError):
+        cox.fit_cox(df.withColumn("t", F.col("t") / 24.0), "t", "e", ["a"])
+
+
 def test_kaplan_meier_edges(spark):
     rows = [("a", 1, 1), ("a", 1, 0), ("a", 2, 1), ("a", 3, 1), ("b", 5, 0), ("b", 6, 0)]
     km = V.kaplan_meier(spark.createDataFrame(rows, "c string, t int, e int"), "t", "e", "c").toPandas()
@@ -145,6 +161,22 @@ def test_selection_phases(spark):
     assert out.columns[:2] == ["id", "Target_3M"] and "a" in out.columns
 
 
+def test_near_constant_does_not_depend_on_size(spark):
+    df = spark.range(400).select(F.col("id"), (F.col("id") % 25).cast("double").alias("few"), F.when(F.col("id") < 399, 0.0).otherwise(50.0).alias("flat"),
+                                 F.lit(None).cast("double").alias("void"))
+    cfg = S.SelectionConfig(id_column="id")
+    names = [[d.feature for d in S.find_near_constant(S.column_stats(x, x.columns[1:]), cfg, lambda c: False)]
+             for x in (df, df.crossJoin(spark.range(10).select(F.lit(1).alias("k"))).drop("k"))]
+    assert names == [["flat"], ["flat"]]
+
+
+def test_wide_text_columns_stay_categories(spark):
+    df = spark.range(400).select("id", (F.col("id") % 40).cast("string").alias("c"), (F.col("id") % 2).cast("int").alias("y"))
+    p = T.prepare(df, "id", [], ["c"], ["y"])
+    model = T.fit_classifier(p.table, "y", T.Settings(family="categorical", max_iter=2, depth=2), "id")
+    assert len(model.stages[0].categoryMaps[0]) == 40
+
+
 def test_stratified_split_is_exact_and_stable(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     train, test = T.stratified_split(df, "id", ["y"])

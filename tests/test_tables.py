@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline import catalog, vocabulary
-from faultline.operators import clean, labels as L, profile as P, risk as K, schema as N, sets, validate as V
+from faultline.operators import clean, labels as L, ordered as O, profile as P, risk as K, schema as N, sets, validate as V
 from faultline.sources import tables as R
 
 T0 = dt.datetime(2024, 6, 25)
@@ -129,7 +129,30 @@ def test_first_available(spark, tmp_path):
         R.first_available(spark, [str(tmp_path / "z")])
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small, large = sets.broadcast_if_small(spark.range(5), 5), sets.broadcast_if_small(spark.range(6), 5)
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+def test_ids_keep_every_digit(spark):
+    texts = ["9007199254740993", "9007199254740992", "17.0", "1.7e1", "17.9", "abc", "", None, "9223372036854775808", " 5 ", "-3", "1e300", "NaN"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("id", R.whole_id(F.col("t")))
+    assert [r["id"] for r in df.orderBy("i").collect()] == [
+        9007199254740993, 9007199254740992, 17, 17, None, None, None, None, None, 5, -3, None, None]
+
+
+def test_write_split_computes_once(spark, tmp_path):
+    df = spark.range(1000).select("id", F.rand().alias("x"))
+    kept = R.write_split(df, F.col("x") > 0.5, str(tmp_path / "bad"))
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert kept.count() + bad.count() == 1000 and kept.filter("x > 0.5").isEmpty() and bad.filter("x <= 0.5").isEmpty()
+    assert kept.columns == bad.columns == ["id", "x"]
+
+
+def test_best_by_ignores_undefined_metrics(spark):
+    df = spark.createDataFrame([("a", "m1", float("nan")), ("a", "m2", 0.7), ("a", "m3", 0.7), ("b", "m4", None), ("b", "m5", float("nan"))],
+                               "h string, model string, auc double")
+    got = {r["h"]: r["model"] for r in O.best_by(df, ["h"], "auc").collect()}
+    assert got == {"a": "m2", "b": "m4"}
+    assert {r["h"]: r["model"] for r in O.best_by(df, ["h"], "auc", largest=False).collect()}["a"] == "m2"
+
+
+def test_path_exists(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    R.write_table(spark.range(2).toDF("a"), str(tmp_path / "full"))
+    assert [R.path_exists(spark, str(tmp_path / x)) for x in ("none", "empty", "full")] == [False, False, True]
