@@ -9,6 +9,8 @@ from faultline.catalog.assets import (CUTOFF, FAULT_SQL, HISTORY_SQL, asset_tabl
                                       rounded)
 from faultline.functions import dates as D, scalars as S
 from faultline.operators import clean, labels as L, risk as K, segments, sets
+from faultline.operators.rollup import EventSpec
+from faultline.plans.investment import investment_list
 from faultline.session import checkpoint
 
 EARLY = "1995-09-25 00:00:00"  # many customers have no order before it, so both groups are large
@@ -290,3 +292,41 @@ def attached_features(spark, folder):
     c = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
     o = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return sets.attach(sets.attach(o, c, "o_custkey"), n, "c_nationkey").drop("c_nationkey")
+
+
+KINDS = {"MACHINERY": 5.0, "BUILDING": 2.0, "AUTOMOBILE": 1.0}
+
+# A log with what cleaning has to remove: repeated outages, rows without an asset and events before the installation.
+DIRTY_SQL = f"""WITH {FAULT_SQL.strip()},
+dirty AS (SELECT * FROM f UNION ALL SELECT asset, event_id + 1000000000, started, ended, 'repeat', status, impact * 2, install FROM f WHERE event_id % 10 = 0
+  UNION ALL SELECT NULL, event_id, started, ended, cause, status, impact, install FROM f WHERE event_id % 50 = 0),
+clean AS (SELECT * FROM (SELECT * FROM dirty WHERE asset IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY asset, started ORDER BY event_id) = 1) WHERE NOT coalesce(started < install, false)),
+h AS (SELECT *, (epoch_us(ended) - epoch_us(started)) / 60000000 AS minutes FROM clean WHERE started <= TIMESTAMP '{CUTOFF}'),
+g AS (SELECT asset, count(*) AS n_events, count(*) FILTER (started >= TIMESTAMP '{CUTOFF}' - INTERVAL 365 DAY) AS n12,
+  avg(impact) AS impact_mean, avg(minutes) FILTER (minutes > 0 AND minutes < 6000) AS outage_mean FROM h GROUP BY 1),
+m AS (SELECT c_custkey AS asset, c_mktsegment AS kind, coalesce(n12 / n_events, 0) AS pof, coalesce(outage_mean,
+   (SELECT quantile_cont(outage_mean, 0.5) FROM g), 120.0) * coalesce(impact_mean, 100.0)
+   * CASE c_mktsegment WHEN 'MACHINERY' THEN 5 WHEN 'BUILDING' THEN 2 ELSE 1 END AS cof_raw
+  FROM customer LEFT JOIN g ON asset = c_custkey),
+k AS (SELECT *, pof * cof_raw AS risk_raw FROM m),
+r AS (SELECT *, (rank() OVER (ORDER BY risk_raw) + (count(*) OVER (PARTITION BY risk_raw) - 1) / 2) / count(*) OVER () * 100 AS risk_score,
+  rank() OVER (ORDER BY risk_raw DESC) AS priority_rank FROM k),
+x AS (SELECT *, {BAND_SQL.format(s="risk_score")} AS risk_category FROM r)"""
+
+
+@register("end_to_end_risk", f"""{DIRTY_SQL}
+SELECT asset, kind, round(pof, 6) AS pof, round(risk_raw, 2) AS risk_raw, round(risk_score, 6) AS risk_score, priority_rank, risk_category,
+ CASE risk_category WHEN 'KRİTİK' THEN 'IMMEDIATE REPLACEMENT' WHEN 'YÜKSEK' THEN 'PRIORITY REPLACEMENT'
+ WHEN 'ORTA' THEN 'PREVENTIVE MAINTENANCE' WHEN 'DÜŞÜK' THEN 'ROUTINE MONITORING' END AS recommended_action
+FROM x ORDER BY priority_rank, asset LIMIT 100""")
+def end_to_end_risk(spark, folder):
+    f = fault_log(spark, folder)
+    again = f.filter("event_id % 10 = 0").withColumns({
+        "event_id": F.col("event_id") + 1_000_000_000, "cause": F.lit("repeat"), "impact": F.col("impact") * 2})
+    nameless = f.filter("event_id % 50 = 0").withColumn("asset", F.lit(None).cast("bigint"))
+    spec = EventSpec(entity="asset", ts="started", tiebreak=("event_id",), end="ended", install="install", cause="cause", means=("impact",))
+    kinds = table(spark, folder, "customer").select(F.col("c_custkey").alias("asset"), F.col("c_mktsegment").alias("kind"))
+    top = investment_list(f.unionByName(again).unionByName(nameless), kinds, spec, CUTOFF, "impact", "kind", KINDS, longest=6000.0)
+    out = top.select("asset", "kind", "pof", "risk_raw", "risk_score", "priority_rank", "risk_category", "recommended_action")
+    return rounded(rounded(out, "pof", "risk_score"), "risk_raw", digits=2)

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 NAMES = ("asset_reliability", "asset_rollup", "removed_duplicates", "parse_dates", "event_gaps", "column_profile",
          "distribution_by_group", "percentile_ranks", "horizon_targets", "consequence_of_failure", "risk_by_horizon",
          "survival_intervals_events", "kaplan_meier", "concordance_index", "binary_metrics_by_group", "encoded_labels",
-         "segment_comparison", "window_availability", "nearest_neighbours", "csv_fault_log", "monthly_log")
+         "segment_comparison", "end_to_end_risk", "window_availability", "nearest_neighbours", "csv_fault_log", "monthly_log")
 
 
 @pytest.fixture(scope="module")
