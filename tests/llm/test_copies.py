@@ -153,13 +153,27 @@ def test_distance(a, b):
     assert lines.distance(a, b) == before[-1]
 
 
+def slow_code(words):
+    half = len(words) // 2
+    hashes = [xxhash.xxh64_intdigest(w) for part in (words[:half], words[half:]) for w in set(part)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_codes_of_long_lines():
+    words = [f"w{i}" for i in range(3000)]
+    rows = [words, words[:255], words[:256], words[:6], words[5:600]]
+    got = lines.codes([[w.encode() for w in r] for r in rows]).view(np.uint64)
+    assert [int(c) for c in got] == [slow_code(r) for r in rows]
+
+
 def slow_lines(rows):
     found = {}
     for doc_id, text, *_ in rows:
         for place, words in lines.normalised(text):
-            found.setdefault(" ".join(words), set()).add((doc_id is not None, doc_id, place))
+            found.setdefault(b" ".join(words).decode(), set()).add((doc_id is not None, doc_id, place))
     texts = sorted(found)
-    code = [int(c) for c in lines.codes([t.split() for t in texts], lines._Hashes()).view(np.uint64)]
+    code = [slow_code(t.split(" ")) for t in texts]
+    assert code == [int(c) for c in lines.codes([t.encode().split(b" ") for t in texts]).view(np.uint64)]
     sets = Sets()
     for i, a in enumerate(texts):
         sets.find(a)
