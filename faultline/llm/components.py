@@ -42,11 +42,13 @@ def _mark(edges: DataFrame) -> tuple:
 FIRST, SECOND, EITHER = 0, 1, 2
 
 
-def linked(rows: Callable[[], DataFrame], most_bits: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked(rows: Callable[[], DataFrame], most_bits: int, verify: Callable[[DataFrame], DataFrame] | None = None,
+           narrowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The components (node, component) of all nodes linked to another one.
 
     ``rows()`` gives (key, side, node, code). Two nodes are linked if they share a key on fitting sides, their codes differ in
-    at most ``most_bits`` bits, and ``verify`` keeps the pair; it gets and returns (a, b).
+    at most ``most_bits`` bits, and ``verify`` keeps the pair; it gets and returns (a, b). ``narrowed`` gives again at least
+    the rows with one of the keys in a table, so that the others needn't be dealt out twice.
 
     Pairs of a group are never listed as a whole. First every row is compared with one centre of its key, which joins a
     dense group. Then, where a key still holds several components, the rows outside its largest one are compared with the
@@ -56,7 +58,11 @@ def linked(rows: Callable[[], DataFrame], most_bits: int, verify: Callable[[Data
     close = F.bit_count(F.col("code").bitwiseXOR(F.col("with.code"))) <= most_bits
     some = rows().groupBy("key").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high")).where(
         f"n > 1 and (low < high or low = {EITHER})").select("key")
-    busy = keep(rows().join(some, "key"))
+    if narrowed is None:
+        busy = keep(rows().join(some, "key"))
+    else:
+        some = keep(some)
+        busy = keep(narrowed(some).join(some, "key"))
     centre = F.struct("node", "code")
     centres = busy.groupBy("key").agg(*[F.min(F.when(F.col("side") == s, centre)).alias(f"c{s}") for s in (FIRST, SECOND, EITHER)])
     partner = F.when(F.col("side") == FIRST, F.col("c1")).when(F.col("side") == SECOND, F.col("c0")).otherwise(F.col("c2"))
