@@ -9,7 +9,7 @@ A block of rows counts its own k best of the open bin only: the k-th best of all
 
 Rows whose vector is null, empty or holds null or non-finite components take no part. Only vectors of the same length are
 compared. Scores fit in 64 bits; one that doesn't raises an error. A query's own row is every row with its id; repeated rows with another id are candidates each, and a repeated
-query is answered once. A null id is no query; as a candidate it comes after all ids. Fewer candidates than k: all of
+query is answered once, with its smallest vector. A null id is no query; as a candidate it comes after all ids. Fewer candidates than k: all of
 them. Empty tables give an empty result. Other columns may have any names.
 """
 
@@ -95,7 +95,7 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCAL
     v = F.col(vector_col)
     clean = keep(vectors.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
                                 F.when(usable(v), whole_numbers(v, scale)).alias("v")).where("v is not null"))
-    asked = keep(clean.where((F.col("id") % every == 0) & (F.col("id") != NO_ID)).dropDuplicates(["id"])
+    asked = keep(clean.where((F.col("id") % every == 0) & (F.col("id") != NO_ID)).groupBy("id").agg(F.min("v").alias("v"))
                  .select("id", "v", F.size("v").alias("width")))
     shapes = asked.groupBy("width").agg(F.count("*").alias("n")).collect()  # one row for each length of vectors
     out = None
