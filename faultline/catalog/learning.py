@@ -1,7 +1,10 @@
-"""Models on the asset table. Small settings keep the checks quick; they are parameters of the library."""
+"""Models on the asset table, for all horizons. Fits that several queries share are made once a session."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import lru_cache
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,7 +18,10 @@ from faultline.operators.schema import annotate_importance
 from faultline.session import checkpoint
 
 NUMERIC = ["n_events", "days_since_last", "mtbf_days", "repair_hours_mean", "weight_mean", "age_years", "cause_consistency"]
-QUICK = T.Settings(max_iter=5, depth=3)
+HORIZONS = ("3M", "6M", "12M")
+BOOSTED, CATEGORICAL = T.Settings(), T.Settings(family="categorical")
+# Of the models that are fitted many times over, for folds and grids.
+SHORT = T.Settings(max_iter=20)
 
 
 def labelled(spark, folder):
@@ -23,14 +29,26 @@ def labelled(spark, folder):
     return a.join(targets(spark, folder), "asset")
 
 
-def prepared(spark, folder, horizons=("6M",)):
+@lru_cache(maxsize=4)
+def prepared(spark, folder, horizons=HORIZONS):
     carry = [f"target_{h}" for h in horizons] + ["install_year"]
     return T.prepare(labelled(spark, folder), "asset", NUMERIC, ["cause_mode"], carry)
 
 
-def trained(spark, folder, settings=QUICK):
-    p, train, test = _split(spark, folder)
-    return p, train, test, T.fit_classifier(train, "target_6M", settings, "asset")
+@lru_cache(maxsize=16)
+def trained(spark, folder, horizon="6M", family="boosted"):
+    """(prepared table, training share, held-out share, model) of one horizon."""
+    p, train, test = _split(spark, folder, horizon)
+    settings = BOOSTED if family == "boosted" else CATEGORICAL
+    return p, train, test, T.fit_classifier(train, f"target_{horizon}", settings, "asset")
+
+
+def _metrics(spark, folder, family):
+    rows = []
+    for h in HORIZONS:
+        _, _, test, model = trained(spark, folder, h, family)
+        rows.append(T.evaluate(model, test, f"target_{h}", h, family))
+    return rows
 
 
 @register("class_weight", f"""WITH {TARGET_SQL}
@@ -62,23 +80,19 @@ def standardized_features(spark, folder):
 
 @register("failure_model_metrics")
 def failure_model_metrics(spark, folder):
-    p = prepared(spark, folder, ("3M", "6M"))
-    return T.fit_pof(p, "asset", ["3M", "6M"], QUICK)[1]
+    return sets.union_all(_metrics(spark, folder, "boosted"))
 
 
 @register("failure_model_families")
 def failure_model_families(spark, folder):
-    p, train, test, boosted = trained(spark, folder)
-    second = T.fit_classifier(train, "target_6M", T.Settings(family="categorical", max_iter=5, depth=3), "asset")
-    return M.compare_models([T.evaluate(boosted, test, "target_6M", "6M", "boosted"),
-                             T.evaluate(second, test, "target_6M", "6M", "categorical")])
+    return M.compare_models([*_metrics(spark, folder, "boosted"), *_metrics(spark, folder, "categorical")])
 
 
 @register("tuned_failure_model")
 def tuned_failure_model(spark, folder):
-    s = T.Settings(max_iter=3, depth=3, grid={"maxDepth": [2, 3]})
-    p, train, test, model = trained(spark, folder, s)
-    return T.evaluate(model, test, "target_6M", "6M", "tuned")
+    p, train, test = _split(spark, folder)
+    s = replace(SHORT, grid={"maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1]})
+    return T.evaluate(T.fit_classifier(train, "target_6M", s, "asset"), test, "target_6M", "6M", "tuned")
 
 
 @register("failure_scores")
@@ -89,94 +103,118 @@ def failure_scores(spark, folder):
 
 @register("feature_importance")
 def feature_importance(spark, folder):
-    p, _, _, model = trained(spark, folder)
-    top = T.top_features(T.importance(model, p.features, spark, "6M"), 5)
+    rows = []
+    for h in HORIZONS:
+        p, _, _, model = trained(spark, folder, h)
+        rows.append(T.importance(model, p.features, spark, h))
+    top = T.top_features(sets.union_all(rows), 5)
     return annotate_importance(top, vocabulary.COLUMN_NAMES)
 
 
 @register("chronic_model_scores")
 def chronic_model_scores(spark, folder):
-    model, p, _ = T.fit_chronic(asset_table(spark, folder), "asset", NUMERIC, ["cause_mode"], QUICK)
+    model, p, _ = T.fit_chronic(asset_table(spark, folder), "asset", NUMERIC, ["cause_mode"], BOOSTED)
     return T.chronic_scores(model, p, "asset")
 
 
 @register("chronic_high_risk_report")
 def chronic_high_risk_report(spark, folder):
     a = checkpoint(asset_table(spark, folder))
-    model, p, _ = T.fit_chronic(a, "asset", NUMERIC, ["cause_mode"], QUICK)
+    model, p, _ = T.fit_chronic(a, "asset", NUMERIC, ["cause_mode"], BOOSTED)
     return T.high_risk_report(T.chronic_scores(model, p, "asset"), "chronic_probability",
                               a.select("asset", "cause_mode"), "asset")
 
 
 @register("asset_explanations")
 def asset_explanations(spark, folder):
-    p, _, _, model = trained(spark, folder)
-    return X.explain_top_assets(model, p.table, "asset", p.features, n=100, k=5)
+    rows = []
+    for h in HORIZONS:
+        p, _, _, model = trained(spark, folder, h)
+        rows.append(X.explain_top_assets(model, p.table, "asset", p.features, n=100, k=5).withColumn("horizon", F.lit(h)))
+    return sets.union_all(rows)
 
 
 @register("global_importance")
 def global_importance(spark, folder):
-    p, _, _, model = trained(spark, folder)
-    return X.global_importance({"6M": model}, p.table, "asset", p.features)
+    fitted = {h: trained(spark, folder, h) for h in HORIZONS}
+    p = fitted["6M"][0]
+    return X.global_importance({h: f[3] for h, f in fitted.items()}, p.table, "asset", p.features)
 
 
-def held_out(spark, folder):
-    p, train, test, model = trained(spark, folder)
-    scored = checkpoint(T.probabilities(model, test).select("asset", "target_6M", "probability_1"))
+def held_out(spark, folder, horizon="6M"):
+    p, train, test, model = trained(spark, folder, horizon)
+    scored = checkpoint(T.probabilities(model, test).select("asset", F.col(f"target_{horizon}").alias("y"), "probability_1"))
     return p, model, scored
 
 
 @register("calibrated_model_metrics")
 def calibrated_model_metrics(spark, folder):
-    _, _, scored = held_out(spark, folder)
-    fit, check = T.stratified_split(scored, "asset", ["target_6M"], 0.5)
-    fit, check = checkpoint(fit), checkpoint(check)
-    iso, platt = C.calibrate_isotonic(fit, "target_6M", "probability_1"), C.calibrate_platt(fit, "target_6M", "probability_1")
-    rows = [check.select("target_6M", "probability_1", F.lit("Uncalibrated").alias("model")),
-            C.apply_isotonic(iso, check, "probability_1", "q").select("target_6M", F.col("q").alias("probability_1"), F.lit("Isotonic").alias("model")),
-            C.apply_platt(platt, check, "probability_1", "q").select("target_6M", F.col("q").alias("probability_1"), F.lit("Platt").alias("model"))]
-    long = checkpoint(sets.union_all(rows).withColumn("horizon", F.lit("6M")))
-    return M.calibration_metrics(long, "target_6M", "probability_1", ["horizon", "model"])
+    rows = []
+    for h in HORIZONS:
+        _, _, scored = held_out(spark, folder, h)
+        fit, check = T.stratified_split(scored, "asset", ["y"], 0.5)
+        fit, check = checkpoint(fit), checkpoint(check)
+        iso, platt = C.calibrate_isotonic(fit, "y", "probability_1"), C.calibrate_platt(fit, "y", "probability_1")
+        for name, out in (("Uncalibrated", check.withColumn("q", F.col("probability_1"))),
+                          ("Isotonic", C.apply_isotonic(iso, check, "probability_1", "q")),
+                          ("Platt", C.apply_platt(platt, check, "probability_1", "q"))):
+            rows.append(out.select("y", F.col("q").alias("probability_1"), F.lit(name).alias("model"), F.lit(h).alias("horizon")))
+    return M.calibration_metrics(checkpoint(sets.union_all(rows)), "y", "probability_1", ["horizon", "model"])
 
 
 @register("calibrated_scores")
 def calibrated_scores(spark, folder):
     p, model, scored = held_out(spark, folder)
-    iso = C.calibrate_isotonic(scored, "target_6M", "probability_1")
+    iso = C.calibrate_isotonic(scored, "y", "probability_1")
     everyone = T.probabilities(model, p.table).select("asset", "probability_1")
     return C.score_calibrated(iso, everyone, "asset", "probability_1")
 
 
-def _split(spark, folder):
+def _split(spark, folder, horizon="6M"):
     p = prepared(spark, folder)
-    train, test = T.stratified_split(p.table, "asset", ["target_6M"])
+    train, test = T.stratified_split(p.table, "asset", [f"target_{horizon}"])
     return p, checkpoint(train), test
 
 
 @register("baseline_metrics")
 def baseline_metrics(spark, folder):
-    _, train, test = _split(spark, folder)
     rows = []
-    for kind in ("logistic", "ridge", "lasso"):
-        model = B.fit_baseline(train, "target_6M", "asset", kind, (0.01, 0.1))
-        s = checkpoint(B.baseline_scores(model, test).select("target_6M", "probability_1"))
-        rows.append(M.binary_metrics(s, "target_6M", "probability_1").select(F.lit("6M").alias("horizon"), F.lit(kind).alias("model"), "*"))
+    for h in HORIZONS:
+        _, train, test = _split(spark, folder, h)
+        for kind in ("logistic", "ridge", "lasso"):
+            model = B.fit_baseline(train, f"target_{h}", "asset", kind)
+            s = checkpoint(B.baseline_scores(model, test).select(f"target_{h}", "probability_1"))
+            rows.append(M.binary_metrics(s, f"target_{h}", "probability_1").select(F.lit(h).alias("horizon"), F.lit(kind).alias("model"), "*"))
     return M.compare_models(rows)
 
 
 @register("baseline_coefficients")
 def baseline_coefficients(spark, folder):
     p, train, _ = _split(spark, folder)
-    return B.coefficients(B.fit_baseline(train, "target_6M", "asset", "logistic", (0.01, 0.1)), p.features, spark)
+    return B.coefficients(B.fit_baseline(train, "target_6M", "asset", "logistic"), p.features, spark)
 
 
 @register("walk_forward")
 def walk_forward(spark, folder):
     p = prepared(spark, folder)
-    years = range(1971, 1997)
-    early, mid, late = tuple(y for y in years if y < 1980), tuple(y for y in years if 1980 <= y < 1988), tuple(y for y in years if y >= 1988)
-    folds = [T.Fold("first", early, mid), T.Fold("second", early + mid, late)]
-    return T.walk_forward_summary(T.walk_forward(p, "asset", "install_year", ["6M"], folds, QUICK))
+    spans = [tuple(range(a, b)) for a, b in ((1971, 1978), (1978, 1984), (1984, 1990), (1990, 1997))]
+    folds = [T.Fold(name, sum(spans[:i], ()), spans[i]) for i, name in enumerate(("first", "second", "third"), 1)]
+    return T.walk_forward_summary(T.walk_forward(p, "asset", "install_year", HORIZONS, folds, SHORT))
+
+
+@register("oversampling_comparison")
+def oversampling_comparison(spark, folder):
+    """Per horizon: AUC with and without synthetic positives, and what follows from the difference."""
+    rows = []
+    for h in HORIZONS:
+        label = f"target_{h}"
+        p, train, test = _split(spark, folder, h)
+        plain = T.fit_classifier(train, label, SHORT, "asset")
+        new = O.smote(train, label, "asset").select(array_to_vector("features").alias("features"), F.lit(1).alias(label))
+        more = T.fit_classifier(checkpoint(train.select("features", label).unionByName(new)), label, SHORT, "asset")
+        auc = [T.evaluate(m, test, label, h, "x").first()["auc"] for m in (plain, more)]
+        rows.append((h, auc[0], auc[1], O.recommendation(auc[1], auc[0])))
+    return spark.createDataFrame(rows, "horizon string, auc double, auc_oversampled double, recommendation string")
 
 
 @register("nearest_neighbours", """

@@ -21,20 +21,18 @@ def baseline(rows: DataFrame, features: Sequence[str]) -> list[float]:
 def contributions(model, rows: DataFrame, entity: str, features: Sequence[str], base: Sequence[float]) -> DataFrame:
     """(entity, feature, value, contribution): score minus the score with the feature at its baseline.
 
-    Rows are spread over (row, feature) within their partition, without a shuffle.
+    Rows are scored once as they are, then spread over (row, feature) within their partition, without a shuffle.
     """
     names = F.array(*[F.lit(f) for f in features])
     typical = F.array(*[F.lit(float(b)) for b in base])
-    spread = rows.select(entity, vector_to_array("features").alias("_x")).select(
-        entity, "_x", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_j"))
+    whole = model.transform(rows.select(entity, "features")).select(
+        entity, vector_to_array("features").alias("_x"), vector_to_array("probability")[1].alias("score"))
+    spread = whole.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("_j"))
     replaced = F.transform("_x", lambda v, i: F.when(i == F.col("_j"), F.element_at(typical, i + 1)).otherwise(v))
     scored = model.transform(spread.withColumn("features", array_to_vector(replaced)))
-    p = scored.select(entity, "_x", "_j", vector_to_array("probability")[1].alias("_p"))
-    # The row with j = -1 is the untouched score.
-    whole = p.filter("_j = -1").select(entity, F.col("_p").alias("score"))
-    return p.filter("_j >= 0").join(whole, entity).select(
+    return scored.select(
         entity, F.element_at(names, F.col("_j") + 1).alias("feature"), F.element_at("_x", F.col("_j") + 1).alias("value"),
-        (F.col("score") - F.col("_p")).alias("contribution"), "score")
+        (F.col("score") - vector_to_array("probability")[1]).alias("contribution"), "score")
 
 
 def explain(contribution_rows: DataFrame, entity: str, k: int = 5) -> DataFrame:
