@@ -182,14 +182,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = keep(near_duplicates(docs, id_col, text_col))
     first = groups.groupBy("component_id").agg(F.min("doc_id").alias("_id"))
     rows = groups.groupBy(F.col("doc_id").alias("_id")).agg((F.count("*") > 1).alias("_again"))
-    chosen = keep(first.join(rows, first["_id"].eqNullSafe(rows["_id"])).select(first["_id"], "_again").distinct())
+    chosen = first.select("_id", F.lit(True).alias("_first")).distinct()
+    ids = keep(rows.join(chosen, rows["_id"].eqNullSafe(chosen["_id"]), "left").select(
+        rows["_id"], "_again", F.coalesce("_first", F.lit(False)).alias("_first")))
     named = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_key"))
 
-    def rows_of(ids: DataFrame) -> DataFrame:
-        return named.join(ids, F.col("_key").eqNullSafe(F.col("_id")), "left_semi")
+    def joined(some: DataFrame, how: str) -> DataFrame:
+        return named.join(some.select("_id"), F.col("_key").eqNullSafe(F.col("_id")), how)
 
-    out = rows_of(chosen.where("not _again")).select("_doc.*")
-    again = chosen.where("_again")
+    # Few documents go, so the ids that go are looked up rather than those that stay.
+    out = joined(ids.where("_again or not _first"), "left_anti").select("_doc.*")
+    again = ids.where("_again and _first")
     if not again.isEmpty():
-        out = out.unionAll(rows_of(again).groupBy("_key").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*"))
+        out = out.unionAll(joined(again, "left_semi").groupBy("_key").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*"))
     return out
