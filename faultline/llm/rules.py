@@ -48,52 +48,48 @@ REPEAT_PERCENT = 50
 def _repeated(w: Column) -> Column:
     """Words that lie in a window of three words found twice or more in the array.
 
-    Most texts repeat no window, which the number of distinct window hashes shows at once. Otherwise the windows are sorted
-    with their starts, equal neighbours give the starts of repeated windows, and the union of the windows is measured from
-    start to start.
+    Windows are compared by a 64-bit hash. Most texts repeat none, which the number of distinct hashes shows at once.
+    Otherwise the hashes are sorted with their starts, equal neighbours give the starts of repeated windows, and the union
+    of the windows is measured from start to start.
     """
-    starts = F.sequence(F.lit(1), F.size(w) - 2)
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
-    spans = F.array_sort(F.transform(starts, lambda i: F.struct(
-        F.concat_ws(" ", F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)).alias("s"), i.alias("i"))))
+    starts = F.sequence(F.lit(0), F.size(w) - 3)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
-    def found_again(s: Column) -> Column:
-        def same(a: Column, b: Column) -> Column:
-            return F.coalesce(F.get(s, a)["s"] == F.get(s, b)["s"], F.lit(False))
+    def again(h: Column) -> Column:
+        spans = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(let(spans, found_again), covered))
 
-        order = F.sequence(F.lit(0), F.size(s) - 1)
-        return F.array_sort(F.transform(F.filter(order, lambda j: same(j, j + 1) | (same(j, j - 1))),
-                                        lambda j: F.get(s, j)["i"]))
+    def found_again(s: Column) -> Column:
+        twice = F.filter(s, lambda x, j: F.coalesce(x["h"] == F.get(s, j + 1)["h"], F.lit(False))
+                         | F.coalesce(x["h"] == F.get(s, j - 1)["h"], F.lit(False)))
+        return F.sort_array(F.transform(twice, lambda x: x["i"]))
 
     def covered(p: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(0), F.size(p) - 1), F.lit(0), lambda n, j: n + F.least(
-            F.lit(3), F.coalesce(F.get(p, j + 1) - F.get(p, j), F.lit(3))))
+        gaps = F.transform(p, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(p, j + 1) - x, F.lit(3))))
+        return F.aggregate(gaps, F.lit(0), lambda n, x: n + x)
 
-    some = let(let(spans, found_again), covered)
-    unique = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-    return F.when(F.size(w) < 4, 0).when(unique, 0).otherwise(some)
+    return F.when(F.size(w) < 4, 0).otherwise(let(hashes, again))
 
 
 def measures(text: Column) -> Column:
     """The counts of one text as a struct."""
     full = F.coalesce(text, F.lit(""))
 
-    def bare(x: Column) -> Column:
-        return F.lower(F.regexp_replace(x, r"[.,;:!?]+$", ""))
+    forms = [*STOP_WORDS, *[x.capitalize() for x in STOP_WORDS]]
 
     def of_words(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             _repeated(w).cast("long").alias("n_repeat_words"),
-            F.size(F.filter(w, lambda x: bare(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+            F.size(F.filter(w, lambda x: x.isin(*forms))).cast("long").alias("n_stop_words"),
         )
 
     def of_lines(x: Column) -> Column:
         return F.struct(
             F.size(x).cast("long").alias("n_lines"),
             (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            F.size(F.filter(x, lambda y: y.rlike(rf"(\.\.\.|…){SPACE}*$"))).cast("long").alias("n_ellipsis_lines"),
+            F.size(F.filter(x, lambda y: y.endswith("...") | y.endswith("…"))).cast("long").alias("n_ellipsis_lines"),
             F.size(F.filter(x, lambda y: y.rlike(rf"^{SPACE}*[-•*]"))).cast("long").alias("n_bullet_lines"),
         )
 
@@ -158,7 +154,7 @@ def sql(table: str = "documents", rules: tuple[Rule, ...] = RULES) -> str:
         "ellipsis_line_share": "n_ellipsis_lines / n_lines", "bullet_line_share": "n_bullet_lines / n_lines",
     }
     test = " AND ".join(f"coalesce({of[r.measure]}, 0) BETWEEN {r.low} AND {r.high}" for r in rules)
-    stop = ", ".join(f"'{x}'" for x in STOP_WORDS)
+    stop = ", ".join(f"'{x}'" for x in (*STOP_WORDS, *[x.capitalize() for x in STOP_WORDS]))
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS w,
@@ -172,8 +168,8 @@ m AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) IN ({stop})))::BIGINT AS n_stop_words,
-         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…){SPACE}*$')))::BIGINT AS n_ellipsis_lines,
+         len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
+         len(list_filter(l, lambda x: ends_with(x, '...') OR ends_with(x, '…')))::BIGINT AS n_ellipsis_lines,
          len(list_filter(l, lambda x: regexp_matches(x, '^{SPACE}*[-•*]')))::BIGINT AS n_bullet_lines
   FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
 b AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words) AS base_failed FROM m)
