@@ -191,7 +191,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return named.join(some.select("_id"), F.col("_key").eqNullSafe(F.col("_id")), how)
 
     # Few documents go, so the ids that go are looked up rather than those that stay.
-    out = joined(ids.where("_again or not _first"), "left_anti").select("_doc.*")
+    # They are a table of their own, whose size Spark knows when it chooses the join.
+    gone = keep(ids.where("_again or not _first").select("_id"))
+    out = joined(gone, "left_anti").select("_doc.*")
     again = ids.where("_again and _first")
     if not again.isEmpty():
         out = out.unionAll(joined(again, "left_semi").groupBy("_key").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*"))
