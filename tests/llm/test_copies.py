@@ -214,3 +214,30 @@ def test_deduplicated_texts(spark):
     assert got[1].text == rows[0][1] and got[1].n_chars == 5
     assert got[2].text == f"{c}\nok" and got[2].n_chars == len(got[2].text)
     assert got[4].text == "x" and got[5].text is None and got[6].text == ""
+
+
+def edited_lines(draw, n, size):
+    """Lines of ``size`` words and copies of them with one word changed, added or removed."""
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def word():
+        return "".join(draw.choice(letters, draw.integers(2, 9)))
+
+    out = []
+    for _ in range(n):
+        words = [word() for _ in range(size)]
+        at, how = int(draw.integers(0, size)), int(draw.integers(0, 3))
+        out.append((" ".join(words), " ".join(words[:at] + [[word()], [words[at], word()], []][how] + words[at + 1:])))
+    return [(a, b) for a, b in out if a != b]
+
+
+def test_recall_of_edited_lines(spark):
+    """Nearly all pairs with an edit similarity of 0.8 or more are linked, whatever their fingerprints."""
+    draw = np.random.default_rng(11)
+    pairs = [(size, *p) for size in (8, 12, 20, 60) for p in edited_lines(draw, 200, size) if lines.distance(*p) <= 0.2 * max(map(len, p)) + 1e-9]
+    rows = [(2 * i + k, text, "en", "a", 1) for i, (_, *p) in enumerate(pairs) for k, text in enumerate(p)]
+    group = {r.doc_id: r.group_id for r in lines.line_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(set(group.values())) >= len(pairs)
+    for size, least in ((8, 0.9), (12, 0.95), (20, 0.97), (60, 0.99)):
+        linked = [group[2 * i] == group[2 * i + 1] for i, p in enumerate(pairs) if p[0] == size]
+        assert len(linked) > 100 and sum(linked) >= least * len(linked), (size, sum(linked), len(linked))
