@@ -241,3 +241,14 @@ def test_recall_of_edited_lines(spark):
     for size, least in ((8, 0.9), (12, 0.95), (20, 0.97), (60, 0.99)):
         linked = [group[2 * i] == group[2 * i + 1] for i, p in enumerate(pairs) if p[0] == size]
         assert len(linked) > 100 and sum(linked) >= least * len(linked), (size, sum(linked), len(linked))
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    japanese = "これは日本語で書かれた長い一行であり単語の間に空白はありませんが複製されています"
+    rows = [(1, "All rights reserved.\nok", "en", "s", 1), (2, f"ok\n{japanese}", "ja", "s", 1), (3, f"all rights RESERVED\n{japanese[:20]}新{japanese[21:]}", "ja", "s", 1),
+            (4, "no\n" + prose(4, 20), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.doc_id, r.line_no): r.kept for r in lines.line_groups(docs).collect()}
+    assert got == {(1, 0): True, (1, 1): True, (2, 0): False, (2, 1): True, (3, 0): False, (3, 1): False, (4, 0): True, (4, 1): True}
+    left = {r.doc_id: r.text for r in lines.deduplicated(docs, short_lines=True).collect()}
+    assert left == {1: rows[0][1], 2: japanese, 4: rows[3][1]}
