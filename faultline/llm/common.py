@@ -32,6 +32,11 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``_doc, _row``: the rows as structs, each with a number of its own, written once so that the numbers stay the same."""
+    return keep(docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row")))
+
+
 _SPACES = re.compile(rb"[\x20\x09-\x0D]")
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import keep, word_chunks
+from faultline.llm.common import keep, numbered, word_chunks
 from faultline.llm.components import EITHER, FIRST, SECOND, linked
 
 SHINGLE = 3
@@ -175,26 +175,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one of each component kept, the one with the smallest id, with their own columns.
+    """The documents with one row of each component kept, the one with the smallest id, with their own columns.
 
-    Rows that share the smallest id are reduced to one of them, the first by all columns' hash.
+    Rows are numbered first and decided one by one, so rows that share an id, or have none, but not their text stay. A row
+    with an id goes before one without; of rows with the same id the first by number is kept.
     """
-    groups = keep(near_duplicates(docs, id_col, text_col))
-    first = groups.groupBy("component_id").agg(F.min("doc_id").alias("_id"))
-    rows = groups.groupBy(F.col("doc_id").alias("_id")).agg((F.count("*") > 1).alias("_again"))
-    chosen = first.select("_id", F.lit(True).alias("_first")).distinct()
-    ids = keep(rows.join(chosen, rows["_id"].eqNullSafe(chosen["_id"]), "left").select(
-        rows["_id"], "_again", F.coalesce("_first", F.lit(False)).alias("_first")))
-    named = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_key"))
-
-    def joined(some: DataFrame, how: str) -> DataFrame:
-        return named.join(some.select("_id"), F.col("_key").eqNullSafe(F.col("_id")), how)
-
-    # Few documents go, so the ids that go are looked up rather than those that stay.
+    rows = numbered(docs)
+    every = keep(fingerprints(rows.select("_row", F.col("_doc")[text_col].alias("text")), "_row").withColumnRenamed("doc_id", "_row").join(
+        rows.select("_row", F.col("_doc")[id_col].cast("long").alias("id")), "_row"))
+    found = linked(lambda: _keyed(every.select("print").distinct()), MOST_BITS).withColumnRenamed("node", "print")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "_row")
+    firsts = every.groupBy("print").agg(F.min(order).alias("first")).join(found, "print", "left")
+    firsts = keep(firsts.select("print", "first", F.coalesce("component", "print").alias("component")))
+    best = firsts.groupBy("component").agg(F.min("first")["_row"].alias("best"))
+    # Few documents go, so the numbers that go are looked up rather than those that stay.
     # They are a table of their own, whose size Spark knows when it chooses the join.
-    gone = keep(ids.where("_again or not _first").select("_id"))
-    out = joined(gone, "left_anti").select("_doc.*")
-    again = ids.where("_again and _first")
-    if not again.isEmpty():
-        out = out.unionAll(joined(again, "left_semi").groupBy("_key").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*"))
-    return out
+    gone = keep(every.join(firsts.join(best, "component").select("print", "best"), "print").where("_row <> best").select("_row"))
+    return rows.join(gone, "_row", "left_anti").select("_doc.*")

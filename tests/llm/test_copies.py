@@ -252,3 +252,15 @@ def test_short_lines_and_lines_without_spaces(spark):
     assert got == {(1, 0): True, (1, 1): True, (2, 0): False, (2, 1): True, (3, 0): False, (3, 1): False, (4, 0): True, (4, 1): True}
     left = {r.doc_id: r.text for r in lines.deduplicated(docs, short_lines=True).collect()}
     assert left == {1: rows[0][1], 2: japanese, 4: rows[3][1]}
+
+
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id or none all stay; a line is lost only in the row that repeats it."""
+    a, b, c, d = (prose(700 + i, 60) for i in range(4))
+    rows = [(None, a, "en", "s", 1), (None, b, "en", "s", 1), (7, c, "en", "s", 1), (7, d, "en", "s", 1), (7, c, "en", "t", 1), (9, d, "en", "s", 1), (None, a, "en", "s", 1)]
+    left = golay.one_of_each(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(0, a), (0, b), (7, c), (7, d)])
+    x, y, z = (prose(800 + i, 20) for i in range(3))
+    rows = [(None, f"{x}\n{y}", "en", "s", 1), (None, f"{z}\n{x}", "en", "s", 1), (None, f"{a}\n{b}", "en", "s", 1)]
+    left = lines.deduplicated(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    assert sorted(r.text for r in left.collect()) == sorted([f"{x}\n{y}", z, f"{a}\n{b}"])
