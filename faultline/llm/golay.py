@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm.common import keep, numbered, word_chunks
 from faultline.llm.components import EITHER, FIRST, SECOND, linked
+from faultline.llm.shingles import near_copies
 
 SHINGLE = 3
 SEED = 42
@@ -175,20 +176,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one row of each component kept, the one with the smallest id, with their own columns.
+    """The documents with one row of each group of near copies kept, the one with the smallest id, with their own columns.
 
+    Near copies share 0.8 of their five-word shingles (``shingles.py``); fingerprints have no part in it.
     Rows are numbered first and decided one by one, so rows that share an id, or have none, but not their text stay. A row
     with an id goes before one without; of rows with the same id the first by number is kept.
     """
     rows = numbered(docs)
-    every = keep(fingerprints(rows.select("_row", F.col("_doc")[text_col].alias("text")), "_row").withColumnRenamed("doc_id", "_row").join(
-        rows.select("_row", F.col("_doc")[id_col].cast("long").alias("id")), "_row"))
-    found = linked(lambda: _keyed(every.select("print").distinct()), MOST_BITS).withColumnRenamed("node", "print")
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "_row")
-    firsts = every.groupBy("print").agg(F.min(order).alias("first")).join(found, "print", "left")
-    firsts = keep(firsts.select("print", "first", F.coalesce("component", "print").alias("component")))
-    best = firsts.groupBy("component").agg(F.min("first")["_row"].alias("best"))
+    every = keep(near_copies(rows.select(F.col("_row").alias("row"), F.col("_doc")[id_col].cast("long").alias("id"), F.col("_doc")[text_col].alias("text"))))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    best = every.groupBy("component").agg(F.min(order)["row"].alias("best"))
     # Few documents go, so the numbers that go are looked up rather than those that stay.
     # They are a table of their own, whose size Spark knows when it chooses the join.
-    gone = keep(every.join(firsts.join(best, "component").select("print", "best"), "print").where("_row <> best").select("_row"))
+    gone = keep(every.join(best, "component").where("row <> best").select(F.col("row").alias("_row")))
     return rows.join(gone, "_row", "left_anti").select("_doc.*")

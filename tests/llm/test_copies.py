@@ -264,3 +264,16 @@ def test_rows_that_share_an_id(spark):
     rows = [(None, f"{x}\n{y}", "en", "s", 1), (None, f"{z}\n{x}", "en", "s", 1), (None, f"{a}\n{b}", "en", "s", 1)]
     left = lines.deduplicated(spark.createDataFrame(rows, SCHEMA).coalesce(1))
     assert sorted(r.text for r in left.collect()) == sorted([f"{x}\n{y}", z, f"{a}\n{b}"])
+
+
+def test_copies_of_four_fifths(spark):
+    """Texts of which 0.8 of the five-word shingles agree are one; those of which less agree are not."""
+    rows, want = [], set()
+    for i in range(60):
+        words = [f"{w}{k}" for k, w in enumerate(prose(900 + i, 200).split())]
+        for n, changes in enumerate((0, 2, 3, 8)):
+            other = [f"new{i}x{k}" if changes and k % (200 // changes) == 9 else w for k, w in enumerate(words)]
+            rows.append((10 * i + n, " ".join(other), "en", "s", 1))
+        want |= {10 * i, 10 * i + 3}
+    left = golay.one_of_each(spark.createDataFrame(rows, SCHEMA))
+    assert {r.doc_id for r in left.collect()} == want
