@@ -1,13 +1,14 @@
-"""License scans: winnowed template fingerprints pick candidates, banded alignment measures them.
+"""License scans: an inverted index of template words picks candidates, banded alignment measures them.
 
-A template's words are cut into runs of three; of every window of four runs the one with the smallest hash, those with a
-long word first, goes into an inverted index (run to template and place). All runs of a document are looked up, so any four runs in a row that it
-shares with a template are found. Hits of one template on nearby diagonals are one candidate; around it template and
-text are aligned word by word in a band, and the words that agree are the matched coverage. Matches that cover
-at least 80 % of a template are reported, one row for each occurrence, with their place in characters.
+A template of n words may miss up to k = n - ceil(coverage * n) of them. Of its 2k + 1 longest words, which go into an inverted index
+(word to template and place), a match thus holds at least k + 1. All words of a document are looked up, and where so many
+places of one template are hit on nearby diagonals there is a candidate; around it template and text are aligned word by word
+in a band, and the words that agree are the matched coverage. So a match whose words lie within the band is always found, whatever
+the template's length. Matches that cover at least 80 % of a template are reported, one row for each occurrence, with
+their place in characters.
 
-The templates are a parameter of bounded size that every task holds. A text without any of the few anchor words that all
-indexed runs contain can't have a hit and isn't cut into words.
+The templates are a parameter of bounded size that every task holds. Any k + 1 of a template's words hold
+one of a match; a text without any of these anchors can't have a match and isn't cut into words.
 
 Null and empty texts have no matches. Templates may overlap; each is reported for itself. Equal alignments prefer agreeing
 words, then the earlier place. Repeated rows are reported each. Empty tables give an empty result. Other columns may have
@@ -21,12 +22,9 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN = 3
-WINDOW = 4
 COVERAGE = 0.8
 
 #: Usual notices of public licenses (fixed texts).
@@ -61,44 +59,53 @@ def split(text: str) -> list[tuple[str, int, int]]:
 
 
 class Index:
-    """Winnowed runs of the templates: run of words to (template, place)."""
+    """Words of the templates: word to (template, place), and how many places a match hits at least."""
 
-    def __init__(self, templates: dict[str, str]) -> None:
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE) -> None:
         self.words = {name: [w for w, _, _ in split(text)] for name, text in templates.items()}
-        self.at: dict[tuple[str, ...], list[tuple[str, int]]] = defaultdict(list)
+        self.at: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        self.need: dict[str, int] = {}
+        anchors: set[str] = set()
         for name, found in self.words.items():
-            runs = [tuple(found[i:i + RUN]) for i in range(len(found) - RUN + 1)]
-            hashes = [xxhash.xxh64_intdigest(" ".join(r)) for r in runs]
-            chosen = set()
-            for i in range(max(1, len(runs) - WINDOW + 1)):
-                window = range(i, min(len(runs), i + WINDOW))
-                if len(window):
-                    chosen.add(min(window, key=lambda j: (-min(6, max(map(len, runs[j]))), hashes[j], -j)))
-            for i in sorted(chosen):
-                self.at[runs[i]].append((name, i))
-        left, self.anchors = set(self.at), []
-        while left:  # few words, long ones first, that hit every run
-            counts = Counter(w for run in left for w in set(run))
-            best = max(counts, key=lambda w: (counts[w] * max(0.001, len(w) - 4), w))
-            self.anchors.append(best)
-            left = {run for run in left if best not in run}
+            missing = sum((len(found) - n) / len(found) >= coverage for n in range(1, len(found)))
+            longest = sorted(range(len(found)), key=lambda i: (-len(found[i]), i))
+            chosen = longest[:2 * missing + 1]
+            self.need[name] = len(chosen) - missing
+            for i in chosen:
+                self.at[found[i]].append((name, i))
+            anchors.update(found[i] for i in longest[:missing + 1])
+        self.anchors = sorted(anchors, key=lambda w: (-len(w), w))
 
     def candidates(self, found: list[str]) -> Iterator[tuple[str, int, int]]:
-        """Template and the range of diagonals (place in text less place in template) of each group of hits."""
+        """Template and the range of diagonals (place in text less place in template) of each group of enough hits."""
         hits: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, run in enumerate(zip(found, found[1:], found[2:])):
-            for name, j in self.at.get(run, ()):
-                hits[name].append((i - j, i))
+        for i, word in enumerate(found):
+            for name, j in self.at.get(word, ()):
+                hits[name].append((i - j, j))
         for name, places in hits.items():
+            if len(places) < self.need[name]:
+                continue
             band = band_of(len(self.words[name]))
             places.sort()
-            low = high = places[0][0]
-            for diagonal, _ in places[1:]:
-                if diagonal - high > band:
-                    yield name, low, high
-                    low = diagonal
-                high = diagonal
-            yield name, low, high
+            held: Counter[int] = Counter()
+            begin, now = 0, None
+            for end, (diagonal, j) in enumerate(places):
+                held[j] += 1
+                while diagonal - places[begin][0] > band:
+                    held[places[begin][1]] -= 1
+                    held += Counter()
+                    begin += 1
+                if len(held) < self.need[name]:
+                    continue
+                low = places[begin][0]
+                if now and low - now[1] <= band:
+                    now = (now[0], diagonal)
+                    continue
+                if now:
+                    yield name, *now
+                now = (low, diagonal)
+            if now:
+                yield name, *now
 
 
 def band_of(length: int) -> int:
@@ -153,7 +160,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     names = ["license", "matched_words", "template_words", "coverage", "start_char", "end_char"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = Index(used)
+        index = Index(used, coverage)
         for pdf in batches:
             rows = [(key, *match) for key, text in zip(pdf["doc_id"], pdf["text"]) for match in scan_text(text, index, coverage)]
             if rows:

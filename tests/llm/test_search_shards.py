@@ -195,3 +195,15 @@ def test_cuts_are_the_cheapest():
                     value = least[i] + int(costs[j]) + packing.SEQUENCE_COST + (0 if size & (size - 1) == 0 else 16 - size)
                     least[j] = value if least[j] is None else min(least[j], value)
         assert total == least
+
+
+def test_license_with_one_edit():
+    """Every template with a word changed, added or removed at each place is found where 80 % are left."""
+    index = licenses.Index(licenses.TEMPLATES)
+    for name, words in index.words.items():
+        for at in range(len(words)):
+            for edited in (words[:at] + ["other"] + words[at + 1:], words[:at] + ["other"] + words[at:], words[:at] + words[at + 1:]):
+                text = "first " + " ".join(edited) + " last"
+                if brute_coverage(words, edited) >= licenses.COVERAGE:
+                    assert name in {m[0] for m in licenses.scan_text(text, index)}, text
+    assert [m[0] for m in licenses.scan_text("Licensed under the MIT License. " * 3, index)] == ["MIT"] * 3
