@@ -277,3 +277,9 @@ def test_copies_of_four_fifths(spark):
         want |= {10 * i, 10 * i + 3}
     left = golay.one_of_each(spark.createDataFrame(rows, SCHEMA))
     assert {r.doc_id for r in left.collect()} == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcé", max_size=30), st.text("abcé", max_size=30))
+def test_apart_only_beyond_the_distance(a, b):
+    assert not lines.apart(a, b, lines.distance(a, b))
