@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk
+from faultline.llm import audit, golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules)}
-SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(), "op10_rules": rules.sql()}
+    op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules, op13_audit)}
+SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(), "op10_rules": rules.sql(), "op13_audit": audit.sql()}
