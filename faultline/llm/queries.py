@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import audit, golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk, vectors
+from faultline.llm import align, audit, golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(_table(spark, folder, "documents"))
+
+
 def op12_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, folder, "embeddings"))
 
@@ -65,5 +69,5 @@ def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules, op12_vectors, op13_audit)}
+    op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules, op11_alignment, op12_vectors, op13_audit)}
 SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(), "op10_rules": rules.sql(), "op13_audit": audit.sql()}
