@@ -9,8 +9,8 @@ Over the corpus, links are kept inverted: each pair of ids has compressed bitmap
 each bit of its multiplicity in them (its planes). Documents are numbered within a span of at most 65,536 of them; where a plane
 holds few it is a list of numbers, otherwise a map of bits. Spans hold different documents, so the OR of a pair's bitmaps
 over spans is their concatenation: bits are counted span by span and added up, documents over the OR of the planes, links
-over the planes by their weight. A pair's total is then joined to its postings, which go back to their spans, where each
-plane adds its pair's score to the documents in it. No pair, id or document is gathered in one place but a span, whose size
+over the planes by their weight. A pair's total then returns to the spans that hold it, where each plane adds its pair's
+score to the documents in it. No pair, id or document is gathered in one place but a span, whose size
 is bounded.
 
 Texts that are null, empty, or not rebuilt by either vocabulary's bytes have no tokens: zeros, and ''. Very long texts are
@@ -338,41 +338,31 @@ def pair_counts(docs: DataFrame, **names: str) -> DataFrame:
                           "n_docs", "n_links")
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the scores that postings bring to the documents of their span; a span's rows follow each other."""
-    span, best, total = None, None, None
-
-    def give() -> pa.RecordBatch:
-        some = np.flatnonzero(total)
-        return pa.RecordBatch.from_arrays([pa.array(span + some), pa.array(best[some]), pa.array(total[some])], names=["doc", "n_best", "count_sum"])
-
-    for batch in batches:
-        spans = batch.column("span").to_numpy()
-        marks = np.flatnonzero(np.concatenate([[True], spans[1:] != spans[:-1]])).tolist() if len(spans) else []
-        for x, y in zip(marks, [*marks[1:], len(spans)]):
-            if spans[x] != span:
-                if span is not None:
-                    yield give()
-                span, best, total = int(spans[x]), np.zeros(SPAN_DOCS, np.int64), np.zeros(SPAN_DOCS, np.int64)
-            part = batch.slice(x, y - x)
-            weight = np.left_shift(np.int64(1), part.column("plane").to_numpy().astype(np.int64))
-            score = weight * part.column("count").to_numpy()
-            weight = weight * part.column("is_best").to_numpy(zero_copy_only=False)
-            bits = part.column("bits").cast(pa.large_binary())
-            ends = np.frombuffer(bits.buffers()[1], np.int64)[bits.offset:bits.offset + len(bits) + 1]
-            data = np.frombuffer(bits.buffers()[2], np.uint16, ends[-1] // 2) if ends[-1] else np.zeros(0, np.uint16)
-            size = np.diff(ends) // 2
-            dense = part.column("dense").to_numpy(zero_copy_only=False)
-            for i in np.flatnonzero(dense).tolist():
-                docs = np.flatnonzero(np.unpackbits(data[ends[i] // 2:ends[i + 1] // 2].view(np.uint8), bitorder="little"))
-                total[docs] += score[i]
-                best[docs] += weight[i]
-            lists = ~dense
-            docs = data[ends[0] // 2:][np.repeat(lists, size)]
-            np.add.at(total, docs, np.repeat(score[lists], size[lists]))
-            np.add.at(best, docs, np.repeat(weight[lists], size[lists]))
-    if span is not None:
-        yield give()
+def _scored(postings: pa.Table, scores: pa.Table) -> pa.Table:
+    """Sums of the scores that the postings of a span bring to its documents."""
+    best, total = np.zeros(SPAN_DOCS, np.int64), np.zeros(SPAN_DOCS, np.int64)
+    if not postings.num_rows:
+        return pa.table({"doc": pa.array([], pa.int64()), "n_best": pa.array([], pa.int64()), "count_sum": pa.array([], pa.int64())})
+    pairs, first = np.unique(scores.column("pair").to_numpy(), return_index=True)
+    count, highest = scores.column("count").to_numpy()[first], scores.column("is_best").to_numpy()[first]
+    for part in postings.to_batches(max_chunksize=100_000):
+        at = np.searchsorted(pairs, part.column("pair").to_numpy())
+        weight = np.left_shift(np.int64(1), part.column("plane").to_numpy().astype(np.int64))
+        score, weight = weight * count[at], weight * highest[at]
+        bits = part.column("bits").cast(pa.large_binary())
+        ends = np.frombuffer(bits.buffers()[1], np.int64)[bits.offset:bits.offset + len(bits) + 1]
+        data = np.frombuffer(bits.buffers()[2], np.uint16, ends[-1] // 2)[ends[0] // 2:]
+        size, ends = np.diff(ends) // 2, (ends - ends[0]) // 2
+        dense = part.column("dense").to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(dense).tolist():
+            docs = np.flatnonzero(np.unpackbits(data[ends[i]:ends[i + 1]].view(np.uint8), bitorder="little"))
+            total[docs] += score[i]
+            best[docs] += weight[i]
+        docs = data[np.repeat(~dense, size)]
+        np.add.at(total, docs, np.repeat(score[~dense], size[~dense]))
+        np.add.at(best, docs, np.repeat(weight[~dense], size[~dense]))
+    some = np.flatnonzero(total)
+    return pa.table({"doc": postings.column("span")[0].as_py() + some, "n_best": best[some], "count_sum": total[some]})
 
 
 def align(docs: DataFrame, a: str = "byte_bpe_50k", b: str = "piece_bpe_32k", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -381,10 +371,11 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k", b: str = "piece_bpe_32k", id
     counted = keep(totals(rows).withColumn("b_id", F.col("pair").bitwiseAND(F.lit((1 << SHIFT) - 1))))
     highest = counted.groupBy("b_id").agg(F.max("n_links").alias("highest"))  # no more rows than B has ids
     scores = counted.join(F.broadcast(highest), "b_id").select("pair", F.col("n_links").alias("count"), (F.col("n_links") == F.col("highest")).alias("is_best"))
-    postings = rows.where("pair is not null").select("span", "pair", "plane", "dense", "bits").join(scores, "pair")
-    back = postings.select("span", "plane", "count", "is_best", "dense", "bits").repartition("span").sortWithinPartitions("span")
-    summed = back.mapInArrow(_scored, "doc long, n_best long, count_sum long").groupBy("doc").agg(
-        F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    postings = rows.where("pair is not null")
+    # Totals return to a span by its pairs alone; its bitmaps move once, to be read beside them.
+    returned = postings.where("fresh > 0").select(F.col("span").alias("to"), F.col("pair").alias("pair")).join(scores, "pair").select("to", "pair", "count", "is_best")
+    summed = postings.select("span", "pair", "plane", "dense", "bits").groupBy("span").cogroup(returned.groupBy("to")).applyInArrow(
+        _scored, "doc long, n_best long, count_sum long")
     zero = F.lit(0).cast("long")
     return rows.where("doc is not null").join(summed, "doc", "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256")
