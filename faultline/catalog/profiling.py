@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from faultline.catalog import register, table
 from faultline.catalog.assets import CUTOFF, days_sql, rounded
 from faultline.catalog.cleaning import DATE_TEXT_SQL, date_text
-from faultline.operators import profile as P
+from faultline.operators import profile as P, sketches
+from faultline.session import checkpoint
 
 # Orders with gaps in two columns, so that shares and bands differ.
 GAPPY_SQL = """x AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS cust,
@@ -30,7 +31,7 @@ def gappy(spark, folder):
 
 @register("column_profile", f"WITH {GAPPY_SQL} {PROFILE_SQL}")
 def column_profile(spark, folder):
-    return P.profile(gappy(spark, folder).drop("placed")).drop("sample_value")
+    return P.profile(gappy(spark, folder).drop("placed"), "exact").drop("sample_value")
 
 
 @register("column_profile_samples", """
@@ -41,9 +42,22 @@ def column_profile_samples(spark, folder):
         "column", "sample_value")
 
 
-@register("column_profile_sketched")
+SKETCHED = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+@register("column_profile_sketched", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS non_null, CASE WHEN count(DISTINCT {c}) <= 500 THEN count(DISTINCT {c}) END AS n_few,"
+    f" true AS distinct_close, true AS most_close FROM lineitem" for c in SKETCHED))
 def column_profile_sketched(spark, folder):
-    return P.profile(table(spark, folder, "lineitem"), exact=False)
+    """Sketches of the parts of a table, stored and merged, against exact counts: within three percent, few values exactly."""
+    li = table(spark, folder, "lineitem").select(*SKETCHED)
+    parts = [sketches.sketch(li.where(F.pmod(F.col("l_orderkey"), F.lit(3)) == k)) for k in range(3)]
+    merged = sketches.report(sketches.merge(checkpoint(parts[0].unionAll(parts[1]).unionAll(parts[2]))))
+    exact = P.value_spread(li).select("column", F.col("n_distinct").alias("d"), F.col("n_most").alias("m"))
+    n = F.col("n_distinct")
+    return merged.join(exact, "column").select(
+        "column", "non_null", F.when(n <= 500, n).alias("n_few"), (F.abs(n - F.col("d")) <= 0.03 * F.col("d")).alias("distinct_close"),
+        (F.abs(F.col("n_most") - F.col("m")) <= 0.01 * F.col("non_null")).alias("most_close"))
 
 
 @register("missing_bands", f"""WITH {GAPPY_SQL}, p AS ({PROFILE_SQL})

@@ -53,7 +53,7 @@ UNION ALL SELECT 'Durum', NULL, count(DISTINCT status) FROM x
 UNION ALL SELECT 'MTBF_Class_Avg', 'aggregation', count(DISTINCT price) FROM x
 UNION ALL SELECT 'Ekipman_Yaşı_12M', 'safe', count(DISTINCT o_orderkey) FROM x""")
 def leakage_by_name(spark, folder):
-    report = P.profile(N.rename(gappy(spark, folder).drop("placed"), LEAK_NAMES))
+    report = P.profile(N.rename(gappy(spark, folder).drop("placed"), LEAK_NAMES), "exact")
     return report.select("column", N.leakage(F.col("column")).alias("kind"), "n_distinct")
 
 
@@ -61,7 +61,7 @@ def leakage_by_name(spark, folder):
 SELECT 'prio' AS "column", 'string' AS data_type, count(DISTINCT prio) AS n_distinct FROM x
 UNION ALL SELECT 'status', 'string', count(DISTINCT status) FROM x""")
 def low_cardinality_columns(spark, folder):
-    return N.low_cardinality(P.profile(gappy(spark, folder).drop("placed")))
+    return N.low_cardinality(P.profile(gappy(spark, folder).drop("placed"), "sketch"))
 
 
 @register("columns_by_type", """
@@ -210,10 +210,20 @@ def correlated_columns(spark, folder):
     return S.selection_report(spark, found).select("feature", "status")
 
 
-@register("variance_inflation")
+# Inverse of a 3 x 3 matrix of cosines by cofactors.
+VIF3 = ("l_quantity", "l_extendedprice", "l_tax")
+
+
+@register("variance_inflation", """
+WITH g AS (SELECT sum(l_quantity * l_quantity) AS aa, sum(l_extendedprice * l_extendedprice) AS bb, sum(l_tax * l_tax) AS cc,
+ sum(l_quantity * l_extendedprice) AS ab, sum(l_quantity * l_tax) AS ac, sum(l_extendedprice * l_tax) AS bc FROM lineitem),
+r AS (SELECT ab / sqrt(aa * bb) AS x, ac / sqrt(aa * cc) AS y, bc / sqrt(bb * cc) AS z FROM g),
+d AS (SELECT *, 1 + 2 * x * y * z - x * x - y * y - z * z AS det FROM r)
+SELECT 'l_quantity' AS feature, round((1 - z * z) / det, 6) AS vif FROM d
+UNION ALL SELECT 'l_extendedprice', round((1 - y * y) / det, 6) FROM d UNION ALL SELECT 'l_tax', round((1 - x * x) / det, 6) FROM d""")
 def variance_inflation(spark, folder):
-    li = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
-    rows = [(c, float(v)) for c, v in S.vif_table(li, li.columns).items()]
+    li = table(spark, folder, "lineitem").select(*VIF3)
+    rows = [(c, round(float(v), 6)) for c, v in S.vif_table(li, li.columns).items()]
     return spark.createDataFrame(rows, "feature string, vif double")
 
 

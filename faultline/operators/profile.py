@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from faultline.functions import scalars as S
 from faultline.functions.dates import elapsed_days, moment
+from faultline.operators import moments, sketches
 from faultline.operators.ordered import quantiles, quantile_value
 
 
@@ -21,46 +21,42 @@ def types_table(df: DataFrame) -> Column:
     return F.create_map(*[F.lit(x) for name, t in df.dtypes for x in (name, t)])
 
 
-def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per column: type, counts, missing share, distinct values, an example (the smallest text).
+def profile(df: DataFrame, distinct: str | None = None) -> DataFrame:
+    """One row per column: type, counts, missing share, distinct values if asked for, an example (the smallest text).
 
-    The exact form counts (column, value) pairs, which combine map-side, instead of one expanded
-    aggregate per column; the other form uses sketches and one pass without a shuffle of values.
+    Counts and examples take one aggregate in which no value leaves its partition. ``distinct`` is None, ``"sketch"``
+    (``sketches.py``, one pass as well) or ``"exact"``, which counts (column, value) pairs in a shuffle.
     """
     columns = df.columns
-    types = types_table(df)
-    if exact:
+    if distinct == "sketch":
+        out = sketches.report(sketches.sketch(df))
+    elif distinct == "exact":
         counts = _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
         out = counts.groupBy("column").agg(
             F.sum("n").alias("n_rows"),
             F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
             F.count("value").alias("n_distinct"),
             F.min("value").alias("sample_value"),
-        )
-    else:
+        ).withColumn("data_type", types_table(df)[F.col("column")])
+    elif distinct is None:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(columns):
-            x = F.col(f"`{c}`")
-            aggs += [F.count(x).alias(f"_c{i}"), F.approx_count_distinct(x).alias(f"_d{i}"),
-                     F.min(x.cast("string")).alias(f"_s{i}")]
-        one = df.agg(*aggs)
-        rows = [F.struct(F.lit(c).alias("column"), F.col("_n").alias("n_rows"), F.col(f"_c{i}").alias("non_null"),
-                         F.col(f"_d{i}").alias("n_distinct"), F.col(f"_s{i}").alias("sample_value"))
-                for i, c in enumerate(columns)]
-        out = one.select(F.inline(F.array(*rows)))
+            aggs += [F.count(F.col(f"`{c}`")).alias(f"_c{i}"), F.min(F.col(f"`{c}`").cast("string")).alias(f"_s{i}")]
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("data_type"), F.col("_n").alias("n_rows"), F.col(f"_c{i}").alias("non_null"),
+                         F.col(f"_s{i}").alias("sample_value")) for i, (c, t) in enumerate(df.dtypes)]
+        out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    else:
+        raise ValueError(f"distinct is None, 'sketch' or 'exact', not {distinct!r}")
     nulls = F.col("n_rows") - F.col("non_null")
     return out.select(
-        "column", types[F.col("column")].alias("data_type"), "n_rows", "non_null", nulls.alias("n_null"),
-        F.round(nulls / F.col("n_rows") * 100.0, 2).alias("null_pct"), "n_distinct", "sample_value")
+        "column", "data_type", "n_rows", "non_null", nulls.alias("n_null"),
+        F.round(F.try_divide(nulls, F.col("n_rows")) * 100.0, 2).alias("null_pct"), *(["n_distinct"] if distinct else []), "sample_value")
 
 
 def value_spread(df: DataFrame) -> DataFrame:
-    """Per column: rows, filled rows, distinct values and rows of the most frequent value."""
-    counts = _long(df, df.columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    filled = F.when(F.col("value").isNotNull(), F.col("n"))
-    return counts.groupBy("column").agg(
-        F.sum("n").alias("n_rows"), F.coalesce(F.sum(filled), F.lit(0)).alias("non_null"), F.count("value").alias("n_distinct"),
-        F.max(filled).alias("n_most"))
+    """Exact distinct values and rows of the most frequent value per column, from counts of (column, value) pairs."""
+    counts = _long(df, df.columns).filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), F.max("n").alias("n_most"))
 
 
 def missing_bands(report: DataFrame) -> DataFrame:
@@ -151,17 +147,19 @@ def above_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
                        F.max("limit").alias("quantile"))
 
 
-# The quantiles of a distribution summary.
-SUMMARY_QUANTILES = {"min": 0.0, "q25": 0.25, "median": 0.5, "q75": 0.75, "p95": 0.95, "max": 1.0}
+# The quantiles of a distribution summary, besides its minimum and maximum.
+SUMMARY_QUANTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75, "p95": 0.95}
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, standard deviation and exact quantiles per column (and group)."""
     by = list(by)
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    moments = df.select(*by, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull()).groupBy(*by, "column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    return moments.join(quantiles(df, columns, SUMMARY_QUANTILES, by), [*by, "column"])
+    number = F.when(~F.isnan("value"), F.col("value"))
+    plain = df.select(*by, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull()).groupBy(*by, "column").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min(number).alias("min"), F.max(number).alias("max"))
+    return plain.join(quantiles(df, columns, SUMMARY_QUANTILES, by), [*by, "column"])
 
 
 def linear_trend(df: DataFrame, x: str, y: str, cap: float | None = None) -> DataFrame:
@@ -173,20 +171,13 @@ def linear_trend(df: DataFrame, x: str, y: str, cap: float | None = None) -> Dat
                      F.regr_intercept("y", "x").alias("intercept"), F.corr("x", "y").alias("r"))
 
 
-def correlations(df: DataFrame, columns: Sequence[str], batch: int = 200) -> DataFrame:
-    """Pairwise-complete correlation of every column pair, in one aggregate per ``batch`` pairs."""
-    x = [F.col(f"`{c}`").cast("double") for c in columns]
-    pairs = list(combinations(range(len(columns)), 2))
-    out = None
-    for start in range(0, len(pairs), batch):
-        part = pairs[start:start + batch]
-        # A pair with a constant side has no correlation; corr() would give NaN.
-        one = df.agg(*[F.corr(x[i], x[j]).alias(f"r{i}_{j}") for i, j in part])
-        rows = [F.struct(F.lit(columns[i]).alias("feature_1"), F.lit(columns[j]).alias("feature_2"),
-                         S.finite(F.col(f"r{i}_{j}")).alias("r")) for i, j in part]
-        long = one.select(F.inline(F.array(*rows)))
-        out = long if out is None else out.unionByName(long)
-    return out
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pairwise-complete correlation of every column pair, from one scan; null where a side is constant."""
+    if len(columns) < 2:
+        return df.limit(0).select(F.lit("").alias("feature_1"), F.lit("").alias("feature_2"), F.lit(0.0).alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return moments.pair_sums(df, columns).where("i < j").select(
+        F.get(names, F.col("i")).alias("feature_1"), F.get(names, F.col("j")).alias("feature_2"), moments.correlation().alias("r"))
 
 
 def correlated_pairs(df: DataFrame, columns: Sequence[str], limit: float) -> DataFrame:

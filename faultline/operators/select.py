@@ -1,6 +1,6 @@
 """Feature selection: constants, leakage by name, correlation, variance inflation, and the decision report.
 
-Everything that depends on the rows is one aggregate; the eliminations then work on p x p matrices.
+Everything that depends on the rows is one pass each of sketches and of pair sums; the eliminations then work on p x p matrices.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from faultline import config
-from faultline.operators import profile as P, schema as N
+from faultline.operators import moments, profile as P, schema as N, sketches
 from faultline.operators.encode import encode
 from faultline.session import checkpoint
 
@@ -48,8 +48,8 @@ def _protected(cfg: SelectionConfig) -> Callable[[str], bool]:
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Distinct values, rows, filled rows, rows of the most frequent value and variance per column."""
-    report = P.value_spread(df.select(*[F.col(f"`{c}`") for c in columns]))
+    """Distinct values, rows, filled rows, rows of the most frequent value and variance per column, by sketches."""
+    report = sketches.report(sketches.sketch(df, columns))
     stats = {r["column"]: {"distinct": r["n_distinct"], "rows": r["n_rows"], "filled": r["non_null"], "most": r["n_most"]}
              for r in report.collect()}  # one row per column
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -103,18 +103,6 @@ def find_correlated(df: DataFrame, columns: Sequence[str], stats: dict[str, dict
     return list(out.values())
 
 
-def gram(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Sums of products of all column pairs, from one aggregate."""
-    p = len(columns)
-    named = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    cells = [(i, j) for i in range(p) for j in range(i, p)]
-    one = named.agg(*[F.expr(f"sum(x{i} * x{j}) AS g{i}_{j}") for i, j in cells]).first()
-    g = np.zeros((p, p))
-    for i, j in cells:
-        g[i, j] = g[j, i] = one[f"g{i}_{j}"]
-    return g
-
-
 def vif_of(g: np.ndarray) -> np.ndarray:
     """Uncentred variance inflation of every column; infinite where it is a combination of the others."""
     d = np.sqrt(np.diag(g))
@@ -128,7 +116,7 @@ def vif_of(g: np.ndarray) -> np.ndarray:
 
 
 def vif_table(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    return dict(zip(columns, vif_of(gram(df, columns))))
+    return dict(zip(columns, vif_of(moments.gram(df, columns))))
 
 
 def vif_select(df: DataFrame, columns: Sequence[str], cfg: SelectionConfig) -> tuple[list[str], list[Decision]]:
@@ -140,7 +128,7 @@ def vif_select(df: DataFrame, columns: Sequence[str], cfg: SelectionConfig) -> t
     rows = encode(df, text).select(*[F.col(f"`{c}`").cast("double").alias(c) for c in numeric],
                                    *[F.col(f"`{c}_code`").alias(c) for c in text])
     rows = P.impute(checkpoint(rows), median=[*numeric, *text])
-    kept, g = [*numeric, *text], gram(rows, [*numeric, *text])
+    kept, g = [*numeric, *text], moments.gram(rows, [*numeric, *text])
     removed = []
     while len(kept) > 1:
         v = vif_of(g)

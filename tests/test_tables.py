@@ -96,10 +96,13 @@ def test_required_columns(spark):
 
 def test_profile_of_empty_and_null_columns(spark):
     df = spark.createDataFrame([(None, 1), (None, 1)], "a string, b int")
-    got = {r["column"]: (r["non_null"], r["n_distinct"], r["null_pct"]) for r in P.profile(df).collect()}
-    assert got == {"a": (0, 0, 100.0), "b": (2, 1, 0.0)}
-    sketched = {r["column"]: (r["non_null"], r["n_distinct"], r["null_pct"]) for r in P.profile(df, exact=False).collect()}
-    assert sketched == got
+    for distinct in ("exact", "sketch"):
+        got = {r["column"]: (r["non_null"], r["n_distinct"], r["null_pct"]) for r in P.profile(df, distinct).collect()}
+        assert got == {"a": (0, 0, 100.0), "b": (2, 1, 0.0)}
+    plain = P.profile(df)
+    assert {r["column"]: (r["non_null"], r["null_pct"], r["sample_value"]) for r in plain.collect()} == {"a": (0, 100.0, None), "b": (2, 0.0, "1")}
+    with pytest.raises(ValueError, match="distinct is"):
+        P.profile(df, "some")
 
 
 def test_imputation_of_an_empty_column(spark):
