@@ -57,7 +57,8 @@ def merge(sketches: DataFrame) -> DataFrame:
 def report(sketches: DataFrame, top: int = 1) -> DataFrame:
     """``column, data_type, n_rows, non_null, n_distinct, n_most, top_values, sample_value`` from sketches.
 
-    ``n_most`` counts the rows of the most frequent value, ``top_values`` lists ``top`` of them with their counts.
+    ``n_most`` counts the rows of the most frequent value (0 if none is frequent enough to tell), ``top_values`` lists ``top`` of
+    them with their counts.
     """
     found = F.call_function("approx_top_k_estimate", F.col("frequent"), F.lit(top + 1))  # nulls may count as a value
     known = F.slice(F.filter(found, lambda x: x["item"].isNotNull()), 1, top)
@@ -67,5 +68,5 @@ def report(sketches: DataFrame, top: int = 1) -> DataFrame:
     distinct = F.when(some & same, F.lit(1)).when(some, F.greatest(F.hll_sketch_estimate("distinct"), F.lit(2))).otherwise(0).cast("bigint")
     return sketches.select(
         "column", "data_type", "n_rows", "non_null", distinct.alias("n_distinct"),
-        F.when(some & same, F.col("non_null")).when(some, F.least(F.get(known, F.lit(0))["count"], F.col("non_null"))).alias("n_most"),
+        F.when(some & same, F.col("non_null")).when(some & (F.size(known) == 0), 0).when(some, F.least(F.get(known, F.lit(0))["count"], F.col("non_null"))).alias("n_most"),
         F.when(some, known).alias("top_values"), "sample_value")

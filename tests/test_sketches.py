@@ -22,6 +22,7 @@ def test_sketches_of_parts_add_up(spark):
         assert (got["few"]["n_distinct"], got["same"]["n_distinct"], got["nothing"]["n_distinct"]) == (700, 1, 0)
         for c, n in (("id", 60_000), ("often", 6_001), ("gaps", 15_000)):
             assert abs(got[c]["n_distinct"] - n) <= 0.03 * n
+        assert got["id"]["n_most"] <= 100
         assert (got["same"]["n_most"], got["nothing"]["n_most"]) == (60_000, None)
         assert abs(got["often"]["n_most"] - 54_000) <= 100 and got["often"]["sample_value"] == "often"
     assert [x["item"] for x in merged["often"]["top_values"]][0] == "often"
