@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm import align, audit, golay, langid, licenses, lines, mixing, packing, quality, rules, sharding, topk, vectors
 
+#: Small enough that shards split on the tables at hand.
+SHARD_BYTES = 1 << 18
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -36,7 +39,7 @@ def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.shards(_table(spark, folder, "documents"))
+    return sharding.shards(_table(spark, folder, "documents"), SHARD_BYTES)
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,4 +73,4 @@ def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_quality, op3_lines, op4_golay, op5_topk, op6_sharding, op7_packing, op8_langid, op9_licenses, op10_rules, op11_alignment, op12_vectors, op13_audit)}
-SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(), "op10_rules": rules.sql(), "op13_audit": audit.sql()}
+SQL: dict[str, str] = {"op1_mixing": mixing.sql(), "op5_topk": topk.sql(), "op6_sharding": sharding.sql(limit=SHARD_BYTES), "op10_rules": rules.sql(), "op13_audit": audit.sql()}

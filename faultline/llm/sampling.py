@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.llm.common import keep
@@ -17,15 +17,21 @@ def fold(key: Column, folds: int) -> Column:
 
 
 def bounded(rows: DataFrame, label: str, key: str, per_label: int, most: int, seed: str) -> DataFrame:
-    """About ``per_label`` rows of each label, chosen by a hash of their id, and never more than ``most`` in all.
+    """About ``per_label`` rows of each label, chosen by a hash of their id, and about ``most`` in all.
 
-    Labels are counted first; a row is taken if its hash lies below its label's share. No label is sorted or gathered.
+    Labels are counted first; a row is taken if its hash lies below its label's share. Where the labels are too many for
+    ``per_label`` of each, all get the same smaller number, so none is lost; labels beyond ``most``, the rarest, are.
+    No label is sorted or gathered.
     """
     counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    counted = keep(counts.where("_label is not null").orderBy(F.col("_n").desc(), "_label").limit(most))
+    share = min(per_label, max(1, most // max(1, counted.count())))
     place = F.shiftright(F.xxhash64(F.lit(seed), F.col(key)), 1).cast("double") / float(1 << 63) + 0.5
-    drawn = rows.join(F.broadcast(counts.orderBy(F.col("_n").desc(), "_label").limit(most)), F.col(label) == F.col("_label"))
-    drawn = drawn.withColumn("_place", place).where(F.col("_place") * F.col("_n") < per_label)
-    return drawn.orderBy("_place", key).limit(most).drop("_label", "_n", "_place")
+    drawn = rows.join(F.broadcast(counted), F.col(label) == F.col("_label")).withColumn("_place", place)
+    # Shares are met on average; a margin of five deviations is kept, so that what is over goes by rank within its label.
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_place", key))
+    near = drawn.where(F.col("_place") * F.col("_n") < share + 5 * share ** 0.5)
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= share).orderBy("_place", key).limit(most).drop("_label", "_n", "_place", "_rank")
 
 
 def fit_in_task(rows: DataFrame, fit: Callable[[pd.DataFrame], bytes]) -> bytes | None:

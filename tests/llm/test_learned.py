@@ -104,3 +104,14 @@ def test_passages_of_a_long_text():
     bags = quality.passages(text)
     assert bags.shape == (-(-len(text.split()) // quality.PASSAGE), quality.WIDTH)
     assert (quality.passages(None) == 0).all() and quality.passages("a").shape[0] == 1
+
+
+def test_sample_of_many_labels(spark):
+    """Rare labels keep their share beside frequent ones, however many there are."""
+    from faultline.llm.sampling import bounded
+
+    rows = [(i, f"big{i % 25}") for i in range(50_000)] + [(100_000 + i, f"rare{i % 5}") for i in range(1000)]
+    got = bounded(spark.createDataFrame(rows, "id long, label string"), "label", "id", 400, 3000, "x").groupBy("label").count().collect()
+    assert len(got) == 30 and {r["count"] for r in got} == {100}
+    few = bounded(spark.createDataFrame(rows[:60], "id long, label string"), "label", "id", 400, 3000, "x")
+    assert few.count() == 60
