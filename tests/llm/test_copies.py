@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from faultline.llm import components, golay, lines
+from faultline.llm.common import keep
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,6 +53,20 @@ def slow_groups(rows):
     return Counter((d, f"{p:016x}", least.get(sets.find(p))) for d, p in prints)
 
 
+def slow_near(texts):
+    """The smallest id of each group of texts that share 0.8 of their five-word shingles, by all pairs."""
+    sets, found = Sets(), {}
+    for d, text in sorted(texts.items()):
+        w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        found[d] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    for a, x in found.items():
+        sets.find(a)
+        for b, y in found.items():
+            if b < a and len(x & y) >= 0.8 * len(x | y):
+                sets.join(a, b)
+    return {sets.find(d) for d in found}
+
+
 def test_every_close_pair_shares_a_key():
     draw = np.random.default_rng(0)
     a = draw.integers(-2**63, 2**63, 4000)
@@ -167,26 +182,52 @@ def test_codes_of_long_lines():
 
 
 def slow_lines(rows):
+    """The normalised lines with their places, and all pairs of different fuzzy lines of an edit similarity of 0.8 or more."""
     found = {}
     for doc_id, text, *_ in rows:
         for place, words in lines.normalised(text):
-            found.setdefault(b" ".join(words).decode(), set()).add((doc_id is not None, doc_id, place))
-    texts = sorted(found)
-    code = [slow_code(t.split(" ")) for t in texts]
-    assert code == [int(c) for c in lines.codes([t.encode().split(b" ") for t in texts]).view(np.uint64)]
-    sets = Sets()
-    for i, a in enumerate(texts):
-        sets.find(a)
-        for j in range(i):
-            b = texts[j]
-            if (code[i] ^ code[j]).bit_count() <= 3 and lines.distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
-                sets.join(a, b)
+            found.setdefault(b" ".join(words).decode(), []).append((doc_id is not None, doc_id or 0, place))
+    fuzzy = sorted((t for t in found if lines.features(t.encode().split(b" "))), key=len)
+    size = np.array([len(t) for t in fuzzy])
+    # An edit changes the counts of at most six runs of three characters, three on either side.
+    counts = np.zeros((len(fuzzy), 1024), np.int16)
+    for row, t in zip(counts, fuzzy):
+        x = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+        row += np.bincount((x[:-2] * 961 + x[1:-1] * 31 + x[2:]) % 1024, minlength=1024).astype(np.int16)
+    pairs = []
+    for i, a in enumerate(fuzzy):
+        upto = int(np.searchsorted(size, size[i] / 0.8 + 1e-9, side="right"))
+        most = 0.2 * size[i + 1:upto] + 1e-9
+        near = np.abs(counts[i + 1:upto] - counts[i]).sum(axis=1, dtype=np.int64) <= 6 * most
+        pairs += [(a, fuzzy[i + 1 + k]) for k in np.flatnonzero(near).tolist() if lines.distance(a, fuzzy[i + 1 + k]) <= most[k]]
+    return found, pairs
+
+
+def check_lines(got, rows, recall=0.9):
+    """Groups hold only lines that true links connect and nearly all true links; the first place of a group is kept."""
+    found, pairs = slow_lines(rows)
+    group = {(r.doc_id, r.line_no): r.group_id for r in got}
+    assert set(group) == {(d if known else None, p) for places in found.values() for known, d, p in places}
+    of = {}
+    for t, places in found.items():
+        ids = {group[d if known else None, p] for known, d, p in places}
+        assert len(ids) == 1
+        of[t] = ids.pop()
+    sets, together = Sets(), {}
+    for a, b in pairs:
+        sets.join(a, b)
+    for t, g in of.items():
+        together.setdefault(g, set()).add(sets.find(t))
+    assert all(len(x) == 1 for x in together.values())
+    classes = [("short", 0, 60), ("middle", 60, 200), ("long", 200, 1 << 30)]
+    for _, low, high in classes:
+        some = [of[a] == of[b] for a, b in pairs if low <= len(a) < high]
+        assert sum(some) >= recall * len(some), (low, sum(some), len(some))
     first = {}
-    for t in texts:
-        key = min(found[t], key=lambda x: (x[0], x[1] or 0, x[2]))
-        root = sets.find(t)
-        first[root] = min(first.get(root, key), key, key=lambda x: (x[0], x[1] or 0, x[2]))
-    return {(d, p): (n, d, p) == first[sets.find(t)] for t in texts for n, d, p in found[t]}
+    for t, places in found.items():
+        first[of[t]] = min([first[of[t]], *places] if of[t] in first else places)
+    for r in got:
+        assert r.kept == ((r.doc_id is not None, r.doc_id or 0, r.line_no) == first[r.group_id])
 
 
 def test_line_groups(spark, edges, clashing, nothing):
@@ -196,9 +237,11 @@ def test_line_groups(spark, edges, clashing, nothing):
         w = list(base)
         w[i * 2] = f"other{i}"
         near.append((2000 + i, prose(3000 + i, 30) + "\n" + " ".join(w) + "\nshort line", "en", "a", 1))
-    rows = edge_rows() + near
-    got = lines.line_groups(edges.unionAll(spark.createDataFrame(near, SCHEMA))).collect()
-    assert {(r.doc_id, r.line_no): r.kept for r in got} == slow_lines(rows)
+    # All pairs of lines are compared below, so the longest text is cut to some of its lines there.
+    rows = [(r[0], "\n".join(r[1].split("\n")[:12]), *r[2:]) if r[0] == 7 else r for r in edge_rows()] + near
+    got = lines.line_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert lines.line_groups(edges).count() == 150 + len([r for r in got if r.doc_id != 7 and (r.doc_id or 0) < 2000])
+    check_lines(got, rows)
     assert lines.line_groups(nothing).count() == 0
     out = lines.deduplicated(clashing)
     assert out.columns == clashing.columns
@@ -216,6 +259,40 @@ def test_deduplicated_texts(spark):
     assert got[4].text == "x" and got[5].text is None and got[6].text == ""
 
 
+def test_lines_with_a_common_core(spark):
+    """Lines that share words in the middle but are not alike: the pairs compared grow with the lines, links are found."""
+    draw = np.random.default_rng(21)
+    core = "alpha bravo charlie delta echo foxtrot golf hotel"
+
+    def word():
+        return "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 9))
+
+    sizes = []
+    for n in (300, 600, 1200):
+        rows = [(i, " ".join([word() for _ in range(4)]) + f" {core} " + " ".join([word() for _ in range(4)]), "en", "a", 1) for i in range(n)]
+        rows += [(5000 + i, rows[i][1].replace("echo", "ecko"), "en", "a", 1) for i in range(0, n, 10)]
+        compared = []
+
+        def counted(pairs, compared=compared):
+            pairs = keep(pairs)
+            compared.append(pairs.count())
+            return pairs
+
+        found = components.linked
+
+        def watched(rows, bits, verify, *rest, **more):
+            return found(rows, bits, lambda pairs: verify(counted(pairs)), *rest, **more)
+
+        lines.linked = watched
+        try:
+            got = {r.doc_id: r.group_id for r in lines.line_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+        finally:
+            lines.linked = found
+        assert all((got[i] == got[j]) == (j == 5000 + i) for i in range(0, n, 10) for j in (5000 + i, i + 1))
+        sizes.append(sum(compared))
+    assert sizes[2] < 3 * sizes[1] < 9 * sizes[0], sizes
+
+
 def edited_lines(draw, n, size):
     """Lines of ``size`` words and copies of them with one word changed, added or removed."""
     letters = list("abcdefghijklmnopqrstuvwxyz")

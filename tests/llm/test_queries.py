@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, name):
     from compare import canonical
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     got = queries.QUERIES[name](spark, FOLDER)
     want = con.sql(queries.SQL[name])
@@ -39,10 +39,10 @@ def test_near_duplicate_query_matches_brute_force(spark):
 
 
 def test_line_query_matches_brute_force(spark):
-    from test_copies import slow_lines
+    from test_copies import check_lines
 
     docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
-    assert {(r.doc_id, r.line_no): r.kept for r in queries.op3_lines(spark, FOLDER).collect()} == slow_lines(docs)
+    check_lines(queries.op3_lines(spark, FOLDER).collect(), docs)
 
 
 def test_license_query_matches_brute_force(spark):
@@ -79,12 +79,13 @@ def test_models_on_held_out_rows(spark):
 
 def test_pipeline_stages(spark):
     """Every stage works on what its predecessor kept and returns what its operator decides."""
-    from test_copies import slow_groups, slow_lines
+    from test_copies import check_lines, slow_near
     from test_rules_mixing import check_mix
     from test_search_shards import check_pieces
 
     from faultline.llm import rules
     from faultline.llm.common import keep
+    from faultline.llm.lines import line_groups
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
@@ -96,7 +97,9 @@ def test_pipeline_stages(spark):
     assert good.columns == columns
 
     rows = [tuple(r) for r in good.select("doc_id", "text").collect()]
-    lost = {k for k, kept in slow_lines(rows).items() if not kept}
+    groups = line_groups(good).collect()
+    check_lines(groups, rows)
+    lost = {(r.doc_id, r.line_no) for r in groups if not r.kept}
     want = {}
     for d, text in rows:
         lines = text.split("\n")
@@ -108,7 +111,7 @@ def test_pipeline_stages(spark):
     assert all(r.n_chars == len(r.text) for r in thin.collect()) and thin.columns == columns
 
     single = keep(steps["near_dedup"](spark, thin, FOLDER))
-    assert {r.doc_id for r in single.collect()} == {c for _, _, c in slow_groups(sorted(want.items()))}
+    assert {r.doc_id for r in single.collect()} == slow_near(want)
     assert single.columns == columns
 
     rows = [tuple(r) for r in single.collect()]
