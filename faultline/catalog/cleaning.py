@@ -295,12 +295,10 @@ u AS (SELECT 0 AS step, 'all' AS stage, count(*) AS n_rows, count(DISTINCT asset
  UNION ALL SELECT 3, 'history', count(*), count(DISTINCT asset) FROM s3)
 SELECT *, round((1 - n_assets / (SELECT n_assets FROM u WHERE step = 0)) * 100, 6) AS lost_pct FROM u""")
 def stage_counts(spark, folder):
-    f = fault_log(spark, folder)
-    s1 = clean.dedup_by_key(f, ["asset", "started"], ["event_id"])
-    s2, _ = clean.exclude_before_install(s1, "started", "install")
-    s3 = clean.history(s2, "started", CUTOFF)
-    stages = [("all", f), ("deduplicated", s1), ("after install", s2), ("history", s3)]
-    return rounded(clean.stage_counts(stages, "asset"), "lost_pct")
+    stages = [("after install", ~F.coalesce(clean.before_install("started", "install"), F.lit(False))),
+              ("history", F.col("started") <= D.moment(CUTOFF))]
+    out = clean.stage_counts(fault_log(spark, folder), "asset", ["asset", "started"], ["event_id"], stages)
+    return rounded(out, "lost_pct")
 
 
 @register("excluded_assets", f"""

@@ -118,12 +118,33 @@ def without(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
-def stage_counts(stages: Sequence[tuple[str, DataFrame]], entity: str) -> DataFrame:
-    """Distinct assets after each stage and the share lost since the first one."""
-    rows = None
-    for i, (name, df) in enumerate(stages):
-        one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(entity).alias("n_assets")).select(
-            F.lit(i).alias("step"), F.lit(name).alias("stage"), "n_rows", "n_assets")
-        rows = one if rows is None else rows.unionByName(one)
-    start = stages[0][1].agg(F.count_distinct(entity).alias("n")).scalar()
-    return rows.withColumn("lost_pct", (F.lit(1.0) - F.try_divide(F.col("n_assets"), start)) * 100.0)
+def stage_counts(
+    df: DataFrame, entity: str, keys: Sequence[str], order: Sequence[str], filters: Sequence[tuple[str, Column]],
+    start: str = "all", unique: str = "deduplicated",
+) -> DataFrame:
+    """Rows and distinct assets after each stage and the share of assets lost since the first one.
+
+    The stages are all rows, the first row of every key, and then the named conditions one after another; a row stays
+    while its condition is true. A kept row carries the last stage it reaches, an asset counts at every stage up to the last that
+    any of its rows reaches: the log is read once. ``keys`` hold the asset; ``order`` must be total over rows of a
+    key that differ in a condition.
+    """
+    if entity not in keys:
+        raise ValueError(f"{entity} must be one of the keys")
+    names = [start, unique, *[name for name, _ in filters]]
+    reach = F.lit(len(names) - 1)
+    for i, (_, kept) in reversed(list(enumerate(filters, 1))):
+        reach = F.when(kept, reach).otherwise(F.lit(i))
+    rest = [c for c in order if c not in keys]
+    first = df.withColumn("_reach", reach).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest, "_reach")).getField("_reach").alias("_reach"))
+    at = [F.sum("_n"), *[F.count_if(F.col("_reach") >= i) for i in range(1, len(names))]]
+    assets = first.groupBy(entity).agg(F.max("_reach").alias("_reach"), *[x.alias(f"_r{i}") for i, x in enumerate(at)])
+    known = F.col(entity).isNotNull()
+    total = assets.agg(
+        *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(names))],
+        *[F.count_if(known & (F.col("_reach") >= i)).alias(f"_a{i}") for i in range(len(names))])
+    rows = [F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(f"_r{i}").alias("n_rows"), F.col(f"_a{i}").alias("n_assets"))
+            for i, name in enumerate(names)]
+    lost = (F.lit(1.0) - F.try_divide(F.col("n_assets"), F.col("_a0"))) * 100.0
+    return total.select("_a0", F.inline(F.array(*rows))).select("step", "stage", "n_rows", "n_assets", lost.alias("lost_pct"))

@@ -3,8 +3,8 @@
 Two devices replace the plain window over a key:
 
 * per-entity order: a window runs inside (entity, calendar block); one small row per block carries
-  the state across blocks. A hot entity is spread over its blocks, and equal instants are counted
-  first, so no task ever holds a whole entity.
+  the state across blocks. A hot entity is spread over its blocks, a hot block is cut at quantiles of
+  its instants, and equal instants are counted first, so no task ever holds a whole entity.
 * global order: values are counted, cut into blocks of bounded size at approximate quantiles, and
   cumulative sums inside a block are shifted by the totals of the blocks before it. There is at most
   one total per (group, block).
@@ -17,7 +17,36 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faultline.functions.dates import elapsed_days
+from faultline.functions.dates import elapsed_days, micros
+
+#: A block with more than one in ``HOT_SHARE`` of all instants, and at least ``HOT_FROM`` of them, is cut into ``PIECES``. There
+#: are at most ``HOT_SHARE`` such blocks, and a sketch that follows ``TRACKED`` keys finds every one of them.
+HOT_SHARE = 1024
+HOT_FROM = 10_000
+PIECES = 256
+TRACKED = 16 * HOT_SHARE
+
+
+def with_pieces(points: DataFrame, entity: str, ts: str) -> DataFrame:
+    """Add ``_piece``: 0 in ordinary blocks, the place among the quantiles of its instants in a hot one.
+
+    Hot (entity, ``_block``) are found by a frequent-items sketch and their quantiles by mergeable summaries, so neither
+    moves instants. What is broadcast has at most ``HOT_SHARE`` rows of ``PIECES`` numbers. Which blocks are cut
+    changes the work only: pieces are in order, and the chain carries its state over them as over blocks.
+    """
+    key, at = F.xxhash64(entity, "_block"), micros(ts)
+    found = points.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.call_function("approx_top_k", key, F.lit(HOT_SHARE), F.lit(TRACKED)).alias("top"),
+    )
+    often = F.filter("top", lambda x: (x["count"] >= HOT_FROM) & (x["count"] * HOT_SHARE > F.col("n")))
+    hot = found.select(F.transform(often, lambda x: x["item"]).alias("hot")).scalar()
+    probs = [i / PIECES for i in range(1, PIECES)]
+    cuts = points.filter(F.array_contains(hot, key)).groupBy(entity, "_block").agg(
+        F.percentile_approx(at, probs, 20 * PIECES).alias("_cuts"))
+    place = F.coalesce(F.size(F.filter("_cuts", lambda c: c < at)), F.lit(0))
+    return points.join(F.broadcast(cuts), [entity, "_block"], "left").withColumn(
+        "_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(place)).drop("_cuts")
 
 
 def event_chain(df: DataFrame, entity: str, ts: str, block: str = "day") -> DataFrame:
@@ -31,23 +60,25 @@ def event_chain(df: DataFrame, entity: str, ts: str, block: str = "day") -> Data
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_block", F.date_trunc(block, F.col(ts)))
     )
-    inside = Window.partitionBy(entity, "_block").orderBy(ts)
+    points = with_pieces(points, entity, ts)
+    cut = [entity, "_block", "_piece"]
+    inside = Window.partitionBy(*cut).orderBy(ts)
     local = points.select(
-        entity, ts, "n", "_block",
+        *cut, ts, "n",
         F.lag(ts).over(inside).alias("_prev"),
         F.lead(ts).over(inside).alias("_next"),
         F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_seq"),
     )
-    blocks = points.groupBy(entity, "_block").agg(
+    blocks = points.groupBy(*cut).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("n").alias("_n"))
-    across = Window.partitionBy(entity).orderBy("_block")
+    across = Window.partitionBy(entity).orderBy("_block", "_piece")
     carry = blocks.select(
-        entity, "_block",
+        *cut,
         F.lag("_last").over(across).alias("_prev_last"),
         F.lead("_first").over(across).alias("_next_first"),
         F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     )
-    return local.join(carry, [entity, "_block"]).select(
+    return local.join(carry, cut).select(
         entity, ts, "n",
         (F.col("_seq") + F.col("_before")).alias("seq"),
         F.coalesce("_prev", "_prev_last").alias("prev_ts"),
