@@ -1,9 +1,8 @@
-"""Models on the asset table, for all horizons. Fits that several queries share are made once a session."""
+"""Models on the asset table, for all horizons. Every query makes the fits it needs, so none depends on what ran before."""
 
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import lru_cache
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from faultline.operators.schema import annotate_importance
 from faultline.session import checkpoint
 
 NUMERIC = ["n_events", "days_since_last", "mtbf_days", "repair_hours_mean", "weight_mean", "age_years", "cause_consistency"]
+TEXT = ["cause_mode"]
 HORIZONS = ("3M", "6M", "12M")
 BOOSTED, CATEGORICAL = T.Settings(), T.Settings(family="categorical")
 # Of the models that are fitted many times over, for folds and grids.
@@ -25,28 +25,27 @@ SHORT = T.Settings(max_iter=20)
 
 
 def labelled(spark, folder):
+    """The asset table with the labels of all horizons, stored once per query."""
     a = asset_table(spark, folder).withColumn("install_year", F.year("install"))
-    return a.join(targets(spark, folder), "asset")
+    return checkpoint(a.join(targets(spark, folder), "asset"))
 
 
-@lru_cache(maxsize=4)
-def prepared(spark, folder, horizons=HORIZONS):
-    carry = [f"target_{h}" for h in horizons] + ["install_year"]
-    return T.prepare(labelled(spark, folder), "asset", NUMERIC, ["cause_mode"], carry)
+def _split(labels, horizon="6M"):
+    """(prepared table, training share, held-out share) of one horizon."""
+    return T.prepared_split(labels, "asset", f"target_{horizon}", NUMERIC, TEXT)
 
 
-@lru_cache(maxsize=16)
-def trained(spark, folder, horizon="6M", family="boosted"):
-    """(prepared table, training share, held-out share, model) of one horizon."""
-    p, train, test = _split(spark, folder, horizon)
+def trained(labels, horizon="6M", family="boosted"):
+    """The same with the model fitted on the training share."""
+    p, train, test = _split(labels, horizon)
     settings = BOOSTED if family == "boosted" else CATEGORICAL
     return p, train, test, T.fit_classifier(train, f"target_{horizon}", settings, "asset")
 
 
-def _metrics(spark, folder, family):
+def _metrics(labels, family):
     rows = []
     for h in HORIZONS:
-        _, _, test, model = trained(spark, folder, h, family)
+        _, _, test, model = trained(labels, h, family)
         rows.append(T.evaluate(model, test, f"target_{h}", h, family))
     return rows
 
@@ -80,32 +79,33 @@ def standardized_features(spark, folder):
 
 @register("failure_model_metrics")
 def failure_model_metrics(spark, folder):
-    return sets.union_all(_metrics(spark, folder, "boosted"))
+    return sets.union_all(_metrics(labelled(spark, folder), "boosted"))
 
 
 @register("failure_model_families")
 def failure_model_families(spark, folder):
-    return M.compare_models([*_metrics(spark, folder, "boosted"), *_metrics(spark, folder, "categorical")])
+    labels = labelled(spark, folder)
+    return M.compare_models([*_metrics(labels, "boosted"), *_metrics(labels, "categorical")])
 
 
 @register("tuned_failure_model")
 def tuned_failure_model(spark, folder):
-    p, train, test = _split(spark, folder)
+    _, train, test = _split(labelled(spark, folder))
     s = replace(SHORT, grid={"maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1]})
     return T.evaluate(T.fit_classifier(train, "target_6M", s, "asset"), test, "target_6M", "6M", "tuned")
 
 
 @register("failure_scores")
 def failure_scores(spark, folder):
-    p, _, _, model = trained(spark, folder)
+    p, _, _, model = trained(labelled(spark, folder))
     return T.score(model, p.table, "asset")
 
 
 @register("feature_importance")
 def feature_importance(spark, folder):
-    rows = []
+    rows, labels = [], labelled(spark, folder)
     for h in HORIZONS:
-        p, _, _, model = trained(spark, folder, h)
+        p, _, _, model = trained(labels, h)
         rows.append(T.importance(model, p.features, spark, h))
     top = T.top_features(sets.union_all(rows), 5)
     return annotate_importance(top, vocabulary.COLUMN_NAMES)
@@ -113,45 +113,45 @@ def feature_importance(spark, folder):
 
 @register("chronic_model_scores")
 def chronic_model_scores(spark, folder):
-    model, p, _ = T.fit_chronic(asset_table(spark, folder), "asset", NUMERIC, ["cause_mode"], BOOSTED)
+    model, p, _ = T.fit_chronic(asset_table(spark, folder), "asset", NUMERIC, TEXT, BOOSTED)
     return T.chronic_scores(model, p, "asset")
 
 
 @register("chronic_high_risk_report")
 def chronic_high_risk_report(spark, folder):
     a = checkpoint(asset_table(spark, folder))
-    model, p, _ = T.fit_chronic(a, "asset", NUMERIC, ["cause_mode"], BOOSTED)
+    model, p, _ = T.fit_chronic(a, "asset", NUMERIC, TEXT, BOOSTED)
     return T.high_risk_report(T.chronic_scores(model, p, "asset"), "chronic_probability",
                               a.select("asset", "cause_mode"), "asset")
 
 
 @register("asset_explanations")
 def asset_explanations(spark, folder):
-    rows = []
+    rows, labels = [], labelled(spark, folder)
     for h in HORIZONS:
-        p, _, _, model = trained(spark, folder, h)
+        p, _, _, model = trained(labels, h)
         rows.append(X.explain_top_assets(model, p.table, "asset", p.features, n=100, k=5).withColumn("horizon", F.lit(h)))
     return sets.union_all(rows)
 
 
 @register("global_importance")
 def global_importance(spark, folder):
-    fitted = {h: trained(spark, folder, h) for h in HORIZONS}
-    p = fitted["6M"][0]
-    return X.global_importance({h: f[3] for h, f in fitted.items()}, p.table, "asset", p.features)
+    labels = labelled(spark, folder)
+    fitted = {h: trained(labels, h) for h in HORIZONS}
+    return X.global_importance({h: (f[0].table, f[3]) for h, f in fitted.items()}, "asset", fitted["6M"][0].features)
 
 
-def held_out(spark, folder, horizon="6M"):
-    p, train, test, model = trained(spark, folder, horizon)
+def held_out(labels, horizon="6M"):
+    p, train, test, model = trained(labels, horizon)
     scored = checkpoint(T.probabilities(model, test).select("asset", F.col(f"target_{horizon}").alias("y"), "probability_1"))
     return p, model, scored
 
 
 @register("calibrated_model_metrics")
 def calibrated_model_metrics(spark, folder):
-    rows = []
+    rows, labels = [], labelled(spark, folder)
     for h in HORIZONS:
-        _, _, scored = held_out(spark, folder, h)
+        _, _, scored = held_out(labels, h)
         fit, check = T.stratified_split(scored, "asset", ["y"], 0.5)
         fit, check = checkpoint(fit), checkpoint(check)
         iso, platt = C.calibrate_isotonic(fit, "y", "probability_1"), C.calibrate_platt(fit, "y", "probability_1")
@@ -164,23 +164,17 @@ def calibrated_model_metrics(spark, folder):
 
 @register("calibrated_scores")
 def calibrated_scores(spark, folder):
-    p, model, scored = held_out(spark, folder)
+    p, model, scored = held_out(labelled(spark, folder))
     iso = C.calibrate_isotonic(scored, "y", "probability_1")
     everyone = T.probabilities(model, p.table).select("asset", "probability_1")
     return C.score_calibrated(iso, everyone, "asset", "probability_1")
 
 
-def _split(spark, folder, horizon="6M"):
-    p = prepared(spark, folder)
-    train, test = T.stratified_split(p.table, "asset", [f"target_{horizon}"])
-    return p, checkpoint(train), test
-
-
 @register("baseline_metrics")
 def baseline_metrics(spark, folder):
-    rows = []
+    rows, labels = [], labelled(spark, folder)
     for h in HORIZONS:
-        _, train, test = _split(spark, folder, h)
+        _, train, test = _split(labels, h)
         for kind in ("logistic", "ridge", "lasso"):
             model = B.fit_baseline(train, f"target_{h}", "asset", kind)
             s = checkpoint(B.baseline_scores(model, test).select(f"target_{h}", "probability_1"))
@@ -190,25 +184,24 @@ def baseline_metrics(spark, folder):
 
 @register("baseline_coefficients")
 def baseline_coefficients(spark, folder):
-    p, train, _ = _split(spark, folder)
+    p, train, _ = _split(labelled(spark, folder))
     return B.coefficients(B.fit_baseline(train, "target_6M", "asset", "logistic"), p.features, spark)
 
 
 @register("walk_forward")
 def walk_forward(spark, folder):
-    p = prepared(spark, folder)
     spans = [tuple(range(a, b)) for a, b in ((1971, 1978), (1978, 1984), (1984, 1990), (1990, 1997))]
     folds = [T.Fold(name, sum(spans[:i], ()), spans[i]) for i, name in enumerate(("first", "second", "third"), 1)]
-    return T.walk_forward_summary(T.walk_forward(p, "asset", "install_year", HORIZONS, folds, SHORT))
+    return T.walk_forward_summary(T.walk_forward(labelled(spark, folder), "asset", "install_year", HORIZONS, folds, NUMERIC, TEXT, SHORT))
 
 
 @register("oversampling_comparison")
 def oversampling_comparison(spark, folder):
     """Per horizon: AUC with and without synthetic positives, and what follows from the difference."""
-    rows = []
+    rows, labels = [], labelled(spark, folder)
     for h in HORIZONS:
         label = f"target_{h}"
-        p, train, test = _split(spark, folder, h)
+        _, train, test = _split(labels, h)
         plain = T.fit_classifier(train, label, SHORT, "asset")
         new = O.smote(train, label, "asset").select(array_to_vector("features").alias("features"), F.lit(1).alias(label))
         more = T.fit_classifier(checkpoint(train.select("features", label).unionByName(new)), label, SHORT, "asset")

@@ -58,11 +58,14 @@ def explain_top_assets(model, rows: DataFrame, entity: str, features: Sequence[s
     return explain(contributions(model, top, entity, features, base), entity, k)
 
 
-def global_importance(models: Mapping[str, object], rows: DataFrame, entity: str, features: Sequence[str]) -> DataFrame:
-    """Mean absolute contribution per feature, averaged over the horizons, with rank and direction."""
-    base = baseline(rows, features)
+def global_importance(models: Mapping[str, tuple[DataFrame, object]], entity: str, features: Sequence[str]) -> DataFrame:
+    """Mean absolute contribution per feature, averaged over the horizons, with rank and direction.
+
+    ``models`` gives the prepared table and the model of every horizon.
+    """
     out = None
-    for h, model in models.items():
+    for h, (rows, model) in models.items():
+        base = baseline(rows, features)
         one = contributions(model, rows, entity, features, base).groupBy("feature").agg(
             F.avg(F.abs("contribution")).alias("mean_abs"), F.avg("contribution").alias("mean_signed"))
         one = one.withColumn("horizon", F.lit(h))

@@ -3,46 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline import config
 from faultline.functions import scalars as S
+from faultline.models.preparation import feature_names, fit_preparation, widest_category
 from faultline.operators import labels as L, metrics as M
-from faultline.operators.encode import encode, label_codes
 from faultline.operators.ordered import cumulative, top_k_per
-from faultline.operators.profile import impute
 from faultline.operators.sets import union_all
 from faultline.session import checkpoint
 
 
 @dataclass
 class Prepared:
-    """A stored numeric matrix: the table with ``features``, the names in vector order and the label codes."""
+    """A stored numeric matrix: the table with ``features``, the names in vector order and the fitted preparation."""
 
     table: DataFrame
     features: list[str]
-    codes: DataFrame | None
+    model: PipelineModel
+
+
+def raw_matrix(df: DataFrame, entity: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+               carry: Sequence[str] = ()) -> DataFrame:
+    """The columns that a preparation reads, stored once."""
+    return checkpoint(df.select(entity, *carry, *[F.col(f"`{c}`").cast("double").alias(c) for c in numeric], *categorical))
+
+
+def prepared_rows(model: PipelineModel, rows: DataFrame, entity: str, names: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    return checkpoint(model.transform(rows).select(entity, *carry, *names, "features"))
 
 
 def prepare(df: DataFrame, entity: str, numeric: Sequence[str], categorical: Sequence[str] = (),
             carry: Sequence[str] = ()) -> Prepared:
-    """Encode text alphabetically, fill missing numbers with the median and assemble the vector."""
-    rows = checkpoint(df.select(entity, *carry, *[F.col(f"`{c}`").cast("double").alias(c) for c in numeric], *categorical))
-    codes = label_codes(rows, categorical) if categorical else None
-    if categorical:
-        rows = encode(rows, categorical, codes=codes)
-    names = [*numeric, *[f"{c}_code" for c in categorical]]
-    filled = impute(rows, median=numeric)
-    assembled = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(filled)
-    return Prepared(checkpoint(assembled.select(entity, *carry, *names, "features")), names, codes)
+    """Encode text alphabetically, fill missing numbers with the median and assemble the vector, all learnt from ``df``.
+
+    For rows that a model is judged on use ``prepared_split``.
+    """
+    rows, names = raw_matrix(df, entity, numeric, categorical, carry), feature_names(numeric, categorical)
+    model = fit_preparation(rows, numeric, categorical)
+    return Prepared(prepared_rows(model, rows, entity, names, carry), names, model)
+
+
+def prepared_split(df: DataFrame, entity: str, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+                   carry: Sequence[str] = (), seed: int = 42) -> tuple[Prepared, DataFrame, DataFrame]:
+    """(all rows, training share, held-out share): medians and label codes come from the training share alone."""
+    kept, names = list(dict.fromkeys([label, *carry])), feature_names(numeric, categorical)
+    rows = raw_matrix(df, entity, numeric, categorical, kept)
+    train, test = stratified_split(rows, entity, [label], seed=seed)
+    marked = checkpoint(train.withColumn("_held_out", F.lit(0)).unionByName(test.withColumn("_held_out", F.lit(1))))
+    model = fit_preparation(marked.filter("_held_out = 0"), numeric, categorical)
+    table = prepared_rows(model, marked, entity, names, [*kept, "_held_out"])
+    shares = [table.filter(F.col("_held_out") == i).drop("_held_out") for i in (0, 1)]
+    return Prepared(table.drop("_held_out"), names, model), *shares
 
 
 def with_hash_order(df: DataFrame, entity: str, strata: Sequence[str], seed: int) -> DataFrame:
@@ -94,38 +114,28 @@ class Settings:
     min_rows: int = 3
     subsample: float = 0.8
     seed: int = 42
-    max_categories: int = 32  # raised to the number of labels of the widest text column
     grid: Mapping[str, Sequence] = field(default_factory=dict)
 
 
-def estimator(label: str, s: Settings):
-    """Trees on the prepared vector; the categorical family treats low-cardinality columns as categories."""
-    features = "indexed" if s.family != "boosted" else "features"
+def estimator(label: str, s: Settings, bins: int = 32):
+    """Trees on the prepared vector, with at least ``bins`` bins."""
     if s.family == "forest":
-        tree = RandomForestClassifier(labelCol=label, featuresCol=features, weightCol="weight", numTrees=s.max_iter,
-                                      maxDepth=s.depth, seed=s.seed, subsamplingRate=s.subsample, minInstancesPerNode=s.min_rows, maxBins=max(32, s.max_categories))
-    else:
-        tree = GBTClassifier(labelCol=label, featuresCol=features, weightCol="weight", maxIter=s.max_iter, maxDepth=s.depth,
-                             stepSize=s.step, minInstancesPerNode=s.min_rows, subsamplingRate=s.subsample, seed=s.seed, maxBins=max(32, s.max_categories))
-    stages = [tree]
-    if s.family != "boosted":
-        stages.insert(0, VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=s.max_categories, handleInvalid="keep"))
-    return Pipeline(stages=stages), tree
-
-
-def _wide_enough(train: DataFrame, s: Settings) -> Settings:
-    """Settings under which every encoded text column stays categorical."""
-    codes = [c for c in train.columns if c.endswith("_code")]
-    if s.family == "boosted" or not codes:
-        return s
-    widest = train.select(F.coalesce(F.greatest(F.lit(0), *[F.max(F.col(f"`{c}`")) for c in codes]), F.lit(0)).alias("m")).first()["m"]
-    return replace(s, max_categories=max(s.max_categories, int(widest) + 2))  # unseen labels get one more
+        return RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="weight", numTrees=s.max_iter,
+                                      maxDepth=s.depth, seed=s.seed, subsamplingRate=s.subsample, minInstancesPerNode=s.min_rows, maxBins=bins)
+    return GBTClassifier(labelCol=label, featuresCol="features", weightCol="weight", maxIter=s.max_iter, maxDepth=s.depth,
+                         stepSize=s.step, minInstancesPerNode=s.min_rows, subsamplingRate=s.subsample, seed=s.seed, maxBins=bins)
 
 
 def fit_classifier(train: DataFrame, label: str, s: Settings, entity: str) -> PipelineModel:
-    """Fit on class-weighted rows; with a grid, the best of a stratified cross-validation by AUC."""
+    """Fit on class-weighted rows; with a grid, the best of a stratified cross-validation by AUC.
+
+    The boosted family reads codes as numbers, the others split the columns that the vector declares as categories by set.
+    """
     rows = weighted(train, label, balanced=s.family == "categorical")
-    pipeline, tree = estimator(label, _wide_enough(train, s))
+    if s.family == "boosted":
+        rows = rows.withColumn("features", F.col("features").alias("features", metadata={}))
+    tree = estimator(label, s, max(32, widest_category(rows)))
+    pipeline = Pipeline(stages=[tree])
     if not s.grid:
         return pipeline.fit(rows)
     return tune(pipeline, {tree.getParam(k): v for k, v in s.grid.items()}, rows, label, entity)
@@ -170,14 +180,15 @@ def top_features(importances: DataFrame, k: int) -> DataFrame:
     return top_k_per(importances, ["horizon"], "importance", "feature", k)
 
 
-def fit_pof(prepared: Prepared, entity: str, horizons: Sequence[str], s: Settings) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """One classifier per horizon (labels ``target_<h>``) with its metrics on the held-out share."""
+def fit_pof(df: DataFrame, entity: str, horizons: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
+            s: Settings) -> tuple[dict[str, tuple[Prepared, PipelineModel]], DataFrame]:
+    """One prepared table and classifier per horizon (labels ``target_<h>``) with its metrics on the held-out share."""
     models, rows = {}, []
     for h in horizons:
         label = f"target_{h}"
-        train, test = stratified_split(prepared.table, entity, [label], seed=s.seed)
-        models[h] = fit_classifier(checkpoint(train), label, s, entity)
-        rows.append(evaluate(models[h], test, label, h, s.family))
+        prepared, train, test = prepared_split(df, entity, label, numeric, categorical, seed=s.seed)
+        models[h] = prepared, fit_classifier(train, label, s, entity)
+        rows.append(evaluate(models[h][1], test, label, h, s.family))
     return models, union_all(rows)
 
 
@@ -190,9 +201,8 @@ def fit_chronic(assets: DataFrame, entity: str, numeric: Sequence[str], categori
     """Repeat-failure classifier on the assets that failed, without the columns that restate its label."""
     labelled = L.chronic_target(assets)
     usable = [c for c in numeric if c not in CHRONIC_DERIVED]
-    prepared = prepare(labelled, entity, usable, categorical, carry=["target_chronic", *carry])
-    train, test = stratified_split(prepared.table, entity, ["target_chronic"], seed=s.seed)
-    model = fit_classifier(checkpoint(train), "target_chronic", s, entity)
+    prepared, train, test = prepared_split(labelled, entity, "target_chronic", usable, categorical, carry, s.seed)
+    model = fit_classifier(train, "target_chronic", s, entity)
     return model, prepared, evaluate(model, test, "target_chronic", "chronic", s.family)
 
 
@@ -217,6 +227,11 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def with_preparation(prepared: Prepared, model: PipelineModel) -> PipelineModel:
+    """Preparation and classifier as one pipeline on raw rows, to be saved together."""
+    return PipelineModel([*prepared.model.stages, *model.stages])
+
+
 def load_model(path: str, cls=PipelineModel):
     return cls.load(path)
 
@@ -232,10 +247,11 @@ class Fold:
     test_years: tuple[int, ...]
 
 
-def walk_forward(prepared: Prepared, entity: str, year: str, horizons: Sequence[str], folds: Sequence[Fold], s: Settings,
-                 min_train: int = 50, min_test: int = 10, min_train_pos: int = 5, min_test_pos: int = 2) -> DataFrame:
-    """Metrics per horizon and fold; folds too small to judge are left out."""
-    rows = []
+def walk_forward(df: DataFrame, entity: str, year: str, horizons: Sequence[str], folds: Sequence[Fold],
+                 numeric: Sequence[str], categorical: Sequence[str], s: Settings, min_train: int = 50, min_test: int = 10, min_train_pos: int = 5, min_test_pos: int = 2) -> DataFrame:
+    """Metrics per horizon and fold, features prepared from the training years; folds too small to judge are left out."""
+    names, labels = feature_names(numeric, categorical), [f"target_{h}" for h in horizons]
+    raw, rows, tables = raw_matrix(df, entity, numeric, categorical, [year, *labels]), [], {}
     for h in horizons:
         label = f"target_{h}"
         positive = F.col(label) == 1
@@ -244,16 +260,19 @@ def walk_forward(prepared: Prepared, entity: str, year: str, horizons: Sequence[
             for tag, years in (("a", f.train_years), ("b", f.test_years)):
                 inside = F.col(year).isin(*years)
                 counts += [F.count_if(inside).alias(f"{tag}{i}"), F.count_if(inside & positive).alias(f"{tag}{i}p")]
-        n = prepared.table.agg(*counts).first()
+        n = raw.agg(*counts).first()
         for i, f in enumerate(folds):
             enough = (n[f"a{i}"] >= min_train and n[f"b{i}"] >= min_test and n[f"a{i}p"] >= min_train_pos
                       and n[f"b{i}p"] >= min_test_pos and n[f"a{i}p"] < n[f"a{i}"] and n[f"b{i}p"] < n[f"b{i}"])
             if not enough:
                 continue
-            model = fit_classifier(prepared.table.filter(F.col(year).isin(*f.train_years)), label, s, entity)
-            rows.append(evaluate(model, prepared.table.filter(F.col(year).isin(*f.test_years)), label, h, f.name))
+            if f.name not in tables:
+                fitted = fit_preparation(raw.filter(F.col(year).isin(*f.train_years)), numeric, categorical)
+                tables[f.name] = prepared_rows(fitted, raw, entity, names, [year, *labels])
+            model = fit_classifier(tables[f.name].filter(F.col(year).isin(*f.train_years)), label, s, entity)
+            rows.append(evaluate(model, tables[f.name].filter(F.col(year).isin(*f.test_years)), label, h, f.name))
     if not rows:
-        return prepared.table.sparkSession.createDataFrame([], METRIC_SCHEMA)
+        return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
     return union_all(rows)
 
 

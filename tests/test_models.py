@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from faultline.models import calibrate as C, cox, explain as X, smote as O, training as T
@@ -170,11 +170,42 @@ def test_near_constant_does_not_depend_on_size(spark):
     assert names == [["flat"], ["flat"]]
 
 
-def test_wide_text_columns_stay_categories(spark):
-    df = spark.range(400).select("id", (F.col("id") % 40).cast("string").alias("c"), (F.col("id") % 2).cast("int").alias("y"))
-    p = T.prepare(df, "id", [], ["c"], ["y"])
-    model = T.fit_classifier(p.table, "y", T.Settings(family="categorical", max_iter=2, depth=2), "id")
-    assert len(model.stages[0].categoryMaps[0]) == 40
+def test_only_text_columns_are_categories(spark):
+    i = F.col("id")
+    df = spark.range(400).select("id", (i % 40).cast("string").alias("c"), (i % 3).cast("double").alias("x"), ((i % 40 > 20) | (i % 3 == 1)).cast("int").alias("y"))
+    p = T.prepare(df, "id", ["x"], ["c"], ["y"])
+    attrs = p.table.schema["features"].metadata["ml_attr"]["attrs"]
+    assert [a["name"] for a in attrs["numeric"]] == ["x"] and [len(a["vals"]) for a in attrs["nominal"]] == [41]
+    text = T.fit_classifier(p.table, "y", T.Settings(family="categorical", max_iter=2, depth=3), "id").stages[-1].toDebugString
+    assert "feature 1 in {" in text and "feature 0 <=" in text and "feature 0 in" not in text
+    text = T.fit_classifier(p.table, "y", T.Settings(max_iter=2, depth=3), "id").stages[-1].toDebugString
+    assert " in {" not in text
+
+
+def test_held_out_rows_do_not_change_the_training_matrix(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": range(300), "a": rng.normal(size=300), "void": np.nan, "kind": rng.choice(["p", "q"], 300)})
+    pdf["y"] = (pdf.a > 0).astype(int)
+    pdf.loc[::9, "a"], pdf.loc[::11, "kind"] = np.nan, None
+    df = spark.createDataFrame(pdf)
+    p, train, test = T.prepared_split(df, "id", "y", ["a", "void"], ["kind"])
+    assert p.table.count() == 300 and test.count() == sum(int(np.ceil(n * 0.3)) for n in pdf.groupby("y").size())
+    out = F.col("id").isin([r["id"] for r in test.collect()])
+    odd = df.withColumns({"a": F.when(out, F.lit(1e9)).otherwise(F.col("a")), "kind": F.when(out, F.lit("another")).otherwise(F.col("kind"))})
+    q, again, other = T.prepared_split(odd, "id", "y", ["a", "void"], ["kind"])
+
+    def matrix(x):
+        return {r["id"]: tuple(r["features"]) for r in x.collect()}
+
+    assert matrix(train) == matrix(again) and matrix(test) != matrix(other)
+    inside = pdf[~pdf.id.isin([r["id"] for r in test.collect()])]
+    assert p.model.stages[0].getOrDefault("medians") == [pytest.approx(inside.a.median()), 0.0]
+    assert {v[2] for v in matrix(other).values()} == {3.0}  # a label that was not seen
+    model = T.with_preparation(p, T.fit_classifier(train, "y", T.Settings(max_iter=2, depth=2), "id"))
+    T.save_model(model, str(tmp_path / "m"))
+    loaded = T.load_model(str(tmp_path / "m"))
+    a, b = (x.transform(odd).agg(F.sum(vector_to_array("probability")[1])).first()[0] for x in (model, loaded))
+    assert a == pytest.approx(b)
 
 
 def test_stratified_split_is_exact_and_stable(spark):
@@ -229,15 +260,15 @@ def test_model_explanations_and_storage(spark, tmp_path):
     pdf["target_6M"] = (pdf.a > 0.3).astype(int)
     pdf.loc[::10, "b"] = np.nan
     df = spark.createDataFrame(pdf)
-    prepared = T.prepare(df, "id", ["a", "b"], ["kind"], ["target_6M"])
     s = T.Settings(max_iter=3, depth=2)
-    models, metrics = T.fit_pof(prepared, "id", ["6M"], s)
+    fitted, metrics = T.fit_pof(df, "id", ["6M"], ["a", "b"], ["kind"], s)
+    prepared, models = fitted["6M"][0], {"6M": fitted["6M"][1]}
     assert metrics.first()["auc"] > 0.95
     contributions = X.contributions(models["6M"], prepared.table, "id", prepared.features, X.baseline(prepared.table, prepared.features))
     assert contributions.count() == 300 * 3
     top = X.explain_top_assets(models["6M"], prepared.table, "id", prepared.features, n=5, k=2).collect()
     assert len(top) == 5 and all(r["top_factor"] == "a" and r["explanation"].count("|") == 1 for r in top)
-    assert X.global_importance(models, prepared.table, "id", prepared.features).orderBy("rank").first()["feature"] == "a"
+    assert X.global_importance({"6M": (prepared.table, models["6M"])}, "id", prepared.features).orderBy("rank").first()["feature"] == "a"
     T.save_model(models["6M"], str(tmp_path / "m"))
     loaded = T.load_model(str(tmp_path / "m"))
     a, b = (T.probabilities(m, prepared.table).agg(F.sum("probability_1")).first()[0] for m in (models["6M"], loaded))
