@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from faultline import config
 from faultline.catalog import register, table
 from faultline.catalog.assets import CUTOFF, asset_table, days_sql, fault_log, rounded
 from faultline.catalog.risks import EARLY
-from faultline.operators import segments, survival as V
+from faultline.functions import dates as D
+from faultline.models.cox import fit_cox, survival_pof
+from faultline.operators import clean, segments, survival as V
 from faultline.session import checkpoint
 
 INTERVAL_SQL = f"""i0 AS (SELECT o_custkey AS asset, o_orderdate AS observed_at, lead(o_orderdate) OVER w AS nxt,
@@ -112,28 +115,63 @@ def concordance_index(spark, folder):
     return rounded(V.concordance(checkpoint(x), "time_to_event", "event_occurred", "risk"), "c_index", digits=9)
 
 
-def cox_inputs(spark, folder):
-    a = asset_table(spark, folder).select("asset", "age_years", "cause_diversity", "repair_hours_mean", "weight_mean")
-    return checkpoint(intervals(spark, folder).join(a, "asset"))
+COX_FEATURES = ["age_years", "cause_diversity", "repair_hours_mean", "weight_mean"]
 
 
-COX_FEATURES = ["age_years", "cause_diversity", "repair_hours_mean", "weight_mean"]
+def cox_assets(spark, folder):
+    """Every asset with its features; what an asset without events in the history cannot have is 0, its age comes from its install date."""
+    install = F.date_sub(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") * 7 % 9000).cast("int")).cast("timestamp_ntz")
+    every = table(spark, folder, "customer").select(F.col("c_custkey").alias("asset"), F.col("c_mktsegment").alias("class"),
+                                                    D.asset_age_days(install, CUTOFF).alias("age_days"))
+    known = asset_table(spark, folder).select("asset", *COX_FEATURES[1:])
+    features = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in COX_FEATURES[1:]}
+    return checkpoint(every.join(known, "asset", "left").withColumns({"age_years": D.years("age_days"), **features}))
+
+
+def cox_inputs(spark, folder, assets):
+    """The records of assets with events, and one censored record of each that never failed, with the features of both."""
+    events = clean.history(fault_log(spark, folder), "started", CUTOFF)
+    records = V.add_censored(intervals(spark, folder), V.censored_healthy(assets, events, "asset", CUTOFF, "age_days", "age_years"))
+    return checkpoint(records.join(assets.drop("age_days"), "asset"))
+
+
+def cox_fit(spark, folder):
+    """(assets, records, model)."""
+    assets = cox_assets(spark, folder)
+    rows = cox_inputs(spark, folder, assets)
+    return assets, rows, fit_cox(rows, "time_to_event", "event_occurred", COX_FEATURES)
 
 
 @register("cox_coefficients")
 def cox_coefficients(spark, folder):
-    from faultline.models.cox import fit_cox
-
-    model = fit_cox(cox_inputs(spark, folder), "time_to_event", "event_occurred", COX_FEATURES)
-    return model.coefficients(spark)
+    return cox_fit(spark, folder)[2].coefficients(spark)
+
+
+@register("cox_fit_check", f"""WITH {INTERVAL_SQL}
+SELECT TRUE AS converged, TRUE AS at_optimum, TRUE AS hazard_rises, TRUE AS probabilities_rise, count(*) FILTER (event_occurred = 1) AS n_failures,
+ count(*) FILTER (event_occurred = 0) AS n_censored, (SELECT count(*) FROM customer WHERE c_custkey NOT IN
+  (SELECT o_custkey FROM orders WHERE o_orderdate <= TIMESTAMP '{CUTOFF}')) AS n_never_failed,
+ (SELECT count(*) FROM customer) AS n_predicted FROM iv""")
+def cox_fit_check(spark, folder):
+    """What must hold of the fit, with the records of each kind and the number of assets that get a probability."""
+    assets, rows, model = cox_fit(spark, folder)
+    kinds = rows.agg(
+        F.count_if(F.col("event_occurred") == 1).alias("n_failures"),
+        F.count_if((F.col("event_occurred") == 0) & (F.col("failure_number") > 0)).alias("n_censored"),
+        F.count_if(F.col("failure_number") == 0).alias("n_never_failed"))
+    pof = [F.col(f"pof_{h}") for h in config.HORIZON_DAYS]
+    rise = F.lit(True)
+    for a, b in zip(pof, pof[1:]):
+        rise = rise & (a <= b)
+    predicted = survival_pof(model, assets, "asset").agg(F.count(pof[0]).alias("n_predicted"), F.min(rise).alias("probabilities_rise"))
+    facts = {"converged": model.converged, "at_optimum": model.largest_slope() < 1e-6, "hazard_rises": model.monotone()}
+    return kinds.withColumns({k: F.lit(v) for k, v in facts.items()}).withColumns(
+        {c: predicted.select(c).scalar() for c in predicted.columns})
 
 
 def cox_predictions(spark, folder):
-    from faultline.models.cox import fit_cox, survival_pof
-
-    rows = cox_inputs(spark, folder)
-    model = fit_cox(rows, "time_to_event", "event_occurred", COX_FEATURES)
-    return survival_pof(model, asset_table(spark, folder), "asset")
+    assets, _, model = cox_fit(spark, folder)
+    return survival_pof(model, assets, "asset")
 
 
 @register("survival_probabilities")
@@ -141,6 +179,23 @@ def survival_probabilities(spark, folder):
     return cox_predictions(spark, folder)
 
 
+def modelled(spark, folder):
+    """The fitted twelve-month probability of every asset with its class and age."""
+    assets, _, model = cox_fit(spark, folder)
+    pof = survival_pof(model, assets, "asset").select("asset", F.col("pof_12M").alias("pof"))
+    return checkpoint(pof.join(assets.select("asset", "class", F.col("age_years").alias("age")), "asset"))
+
+
+@register("survival_by_class")
+def survival_by_class(spark, folder):
+    return segments.by_category(modelled(spark, folder), "class", "pof", "age")
+
+
+@register("survival_outliers")
+def survival_outliers(spark, folder):
+    return segments.group_outliers(modelled(spark, folder).drop("age"), "class", "pof")
+
+
 SHARE_SQL = """p AS (SELECT c_mktsegment AS class, o_custkey AS asset, count(*) FILTER (o_totalprice > 300000) / count(*) AS pof,
  avg(sqrt(o_totalprice)) AS age FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2)"""
 

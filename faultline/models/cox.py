@@ -29,6 +29,7 @@ class CoxModel:
     gradient: np.ndarray
     iterations: int
     converged: bool  # the gradient met the tolerance
+    n_rows: int
 
     def log_risk(self) -> Column:
         parts = [(F.col(f"`{c}`").cast("double") - float(m)) * float(b / s)
@@ -36,9 +37,18 @@ class CoxModel:
         return sum(parts, F.lit(0.0))
 
     def coefficients(self, spark) -> DataFrame:
-        """Coefficient per unit of the feature and its hazard ratio."""
-        rows = [(c, float(b / s), float(np.exp(b / s))) for c, b, s in zip(self.features, self.beta, self.scale)]
-        return spark.createDataFrame(rows, "feature string, coefficient double, hazard_ratio double")
+        """Coefficient per unit of the feature and its hazard ratio, and whether the fit converged in how many steps."""
+        rows = [(c, float(b / s), float(np.exp(b / s)), self.converged, self.iterations)
+                for c, b, s in zip(self.features, self.beta, self.scale)]
+        return spark.createDataFrame(rows, "feature string, coefficient double, hazard_ratio double, converged boolean, iterations int")
+
+    def largest_slope(self) -> float:
+        """The largest entry of the penalised gradient per row."""
+        return float(np.max(np.abs(self.gradient))) / max(self.n_rows, 1)
+
+    def monotone(self) -> bool:
+        """Whether the cumulative baseline hazard never falls."""
+        return bool(np.all(np.diff(self.baseline_hazard) >= 0))
 
     def hazard_at(self, days: int) -> float:
         """Cumulative baseline hazard at the time point nearest to the horizon."""
@@ -122,19 +132,26 @@ def _step(rows: DataFrame, p: int, beta: np.ndarray) -> tuple[float, np.ndarray,
     return float(one["ll"]), grad, info
 
 
+#: Times longer than this many days (300 years) are taken for another unit.
+LONGEST_DAYS = 109_575
+
+
 def fit_cox(records: DataFrame, time: str, event: str, features: Sequence[str], penalty: float = 0.1,
             max_steps: int = 100, tolerance: float = 1e-7) -> CoxModel:
     """Newton's method on the penalised partial likelihood of standardised features.
 
-    ``time`` holds whole days: sums are kept per day. The model says whether it converged.
+    ``time`` holds whole days, as sums are kept per day: other types and times of over ``LONGEST_DAYS`` are refused. The model says
+    whether it converged.
     """
     if not isinstance(records.schema[time].dataType, T.IntegralType):
         raise ValueError(f"{time} must hold whole days")
     features = list(features)
     p = len(features)
-    stats = records.agg(F.count(F.lit(1)).alias("n"), *[
+    stats = records.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col(time).cast("bigint"))).alias("longest"), *[
         g(F.col(f"`{c}`").cast("double")).alias(f"{k}{i}")
         for i, c in enumerate(features) for k, g in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    if (stats["longest"] or 0) > LONGEST_DAYS:
+        raise ValueError(f"{time} reaches {stats['longest']}: it must hold days")
     mean = np.array([stats[f"m{i}"] for i in range(p)], dtype=float)
     scale = np.array([stats[f"s{i}"] or 1.0 for i in range(p)], dtype=float)
     n = stats["n"]
@@ -171,7 +188,7 @@ def fit_cox(records: DataFrame, time: str, event: str, features: Sequence[str],
     base = daily.withColumn("s", F.sum("s").over(later)).orderBy("_t").toPandas()  # one row per day
     hazard = np.cumsum(base["d"].to_numpy(float) / base["s"].to_numpy(float))
     return CoxModel(features, mean, scale, beta, base["_t"].to_numpy(float), hazard, value, grad, steps,
-                    bool(np.max(np.abs(grad)) / n <= tolerance))
+                    bool(np.max(np.abs(grad)) / n <= tolerance), n)
 
 
 def survival_pof(model: CoxModel | None, assets: DataFrame, entity: str,

@@ -83,6 +83,9 @@ def test_cox_wants_days_and_tells_convergence(spark, survival):
     df = survival[3]
     assert cox.fit_cox(df, "t", "e", ["a", "b"]).converged
     assert not cox.fit_cox(df, "t", "e", ["a", "b"], max_steps=1).converged
+    assert cox.fit_cox(df, "t", "e", ["a", "b"], max_steps=1).coefficients(spark).select("converged", "iterations").distinct().collect() == [(False, 1)]
+    with pytest.raises(ValueError):
+        cox.fit_cox(df.withColumn("t", F.col("t") * 86_400), "t", "e", ["a"])
     with pytest.raises(ValueError):
         cox.fit_cox(df.withColumn("t", F.col("t") / 24.0), "t", "e", ["a"])
 
