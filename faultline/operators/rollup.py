@@ -1,15 +1,17 @@
 """Event log to one row per asset, as of a cutoff.
 
-Everything is a two-level aggregation: partial results per (asset, month) combine map-side, so an asset
-with a large share of all events is already small when it meets its own rows.
+One scan and two shuffles: partial results per (asset, bucket, cause and text attributes) combine map-side, so an asset
+with a large share of all events is already small when it meets its own rows. All partial results have a fixed
+width, so they are kept in hash tables and the log is never sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from faultline.functions import dates as D
 from faultline.functions.scalars import flag
@@ -19,7 +21,11 @@ from faultline.session import checkpoint
 
 @dataclass(frozen=True)
 class EventSpec:
-    """Column names of an event log. Optional parts that are None or empty are left out of the result."""
+    """Column names of an event log. Optional parts that are None or empty are left out of the result.
+
+    ``cause`` and the text columns among ``first_of`` are categories: an asset keeps one row per combination and bucket. The first
+    of a free text is what ``first_last`` is for.
+    """
 
     entity: str
     ts: str
@@ -39,15 +45,27 @@ def _bucket(ts: Column, width_days: int) -> Column:
     return F.floor(D.micros(ts) / F.lit(width_days * D.DAY_US)).cast("bigint")
 
 
+def _place(rows: DataFrame, ts: str, tiebreak: Sequence[str]) -> Column:
+    """The place of an event in time as one comparable value: a number where one whole number breaks ties (a missing one
+    coming first), else a struct, with which the rollup sorts instead of hashing."""
+    if not tiebreak:
+        return F.col(ts)
+    if len(tiebreak) > 1 or not isinstance(rows.schema[tiebreak[0]].dataType, T.IntegralType):
+        return F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
+    least = F.coalesce(F.col(tiebreak[0]).cast("decimal(20,0)") + F.lit(Decimal(2**63 + 1)), F.lit(Decimal(0)))
+    return D.micros(ts).cast("decimal(20,0)") * F.lit(Decimal(2**65)) + least
+
+
 def rollup(events: DataFrame, spec: EventSpec, cutoff: str) -> DataFrame:
-    """Counts, extremes, window and season sums, repair hours, first attributes, means and recurrence flags."""
+    """Counts, extremes, window and season sums, repair hours, first attributes, means, causes and recurrence flags."""
     e, ts = spec.entity, spec.ts
     rows = history(events, ts, cutoff).filter(F.col(e).isNotNull())
-    order = F.struct(F.col(ts), *[F.col(c) for c in spec.tiebreak])
+    place = _place(rows, ts, spec.tiebreak)
     width = min(spec.recurrence_days)
 
     partial: list[Column] = [
         F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+        F.min(place).alias("_from"), F.max(place).alias("_to"),
         F.sum(D.summer_flag(ts)).alias("_summer"), F.sum(D.winter_flag(ts)).alias("_winter"),
     ]
     final: list[Column] = [
@@ -62,16 +80,17 @@ def rollup(events: DataFrame, spec: EventSpec, cutoff: str) -> DataFrame:
         partial += [F.sum(hours).alias("_ttr_sum"), F.count(hours).alias("_ttr_n"), F.max(hours).alias("_ttr_max")]
         final += [F.try_divide(F.sum("_ttr_sum"), F.sum("_ttr_n")).alias("repair_hours_mean"),
                   F.max("_ttr_max").alias("repair_hours_max")]
-    firsts = list(spec.first_of) + ([spec.install] if spec.install else [])
-    for i, c in enumerate(firsts):
-        known = F.when(F.col(c).isNotNull(), order)
-        partial += [F.min_by(F.col(c), known).alias(f"_f{i}"), F.min(known).alias(f"_fo{i}")]
-        final.append(F.min_by(F.col(f"_f{i}"), F.col(f"_fo{i}")).alias(c))
+    # Text is part of the key, as no hash table holds it as a value.
+    keys, firsts = {}, {}
+    for i, c in enumerate([*spec.first_of, *([spec.install] if spec.install else [])]):
+        if isinstance(rows.schema[c].dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            known = F.when(F.col(c).isNotNull(), place)
+            partial += [F.min_by(F.col(c), known).alias(f"_f{i}"), F.min(known).alias(f"_fo{i}")]
+            final.append(F.min_by(F.col(f"_f{i}"), F.col(f"_fo{i}")).alias(c))
+        else:
+            keys[f"_f{i}"], firsts[c] = F.col(c), f"_f{i}"
     if spec.cause is not None:
-        known = F.when(F.col(spec.cause).isNotNull(), order)
-        partial += [F.min_by(F.col(spec.cause), known).alias("_cf"), F.min(known).alias("_cfo"),
-                    F.max_by(F.col(spec.cause), known).alias("_cl"), F.max(known).alias("_clo")]
-        final += [F.min_by("_cf", "_cfo").alias("cause_first"), F.max_by("_cl", "_clo").alias("cause_last")]
+        keys["_cause"], firsts["cause_first"] = F.col(spec.cause), "_cause"
     for c in [*spec.means, *spec.means_and_maxima]:
         x = F.col(c).cast("double")
         partial += [F.sum(x).alias(f"_s_{c}"), F.count(x).alias(f"_c_{c}")]
@@ -80,21 +99,33 @@ def rollup(events: DataFrame, spec: EventSpec, cutoff: str) -> DataFrame:
         partial.append(F.max(c).alias(f"_m_{c}"))
         final.append(F.max(f"_m_{c}").alias(f"{c}_max"))
 
-    buckets = rows.groupBy(e, _bucket(F.col(ts), width).alias("_bucket")).agg(*partial)
-    w = Window.partitionBy(e).orderBy("_bucket")
-    gap = F.when(F.col("_n") > 1, F.lit(0).cast("bigint"))
-    cross = D.elapsed_days(F.lag("_last").over(w), F.col("_first"))
-    chained = buckets.withColumn("_gap", F.least(gap, cross))  # least() skips nulls
+    parts = rows.groupBy(e, _bucket(F.col(ts), width).alias("_bucket"), *[c.alias(k) for k, c in keys.items()]).agg(*partial)
+    # The windows below share the rows of an asset; a bucket follows from the place, so places order buckets too.
+    whole = Window.partitionBy(e).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.partitionBy(e).orderBy("_from", *keys)
+    earlier = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    within = F.when(F.col("_n") > 1, F.lit(0).cast("bigint"))
+    out = parts.select(
+        "*", F.least(within, D.elapsed_days(earlier, F.col("_first"))).alias("_gap"),  # least() skips nulls
+        *[F.first(k, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(f"_v{i}")
+          for i, k in enumerate(firsts.values())])
+    found = {name: f"_v{i}" for i, name in enumerate(firsts)}
     for d in spec.recurrence_days:
         final.append(F.max(flag(F.col("_gap") <= d)).alias(f"recurs_{d}d"))
-    out = chained.groupBy(e).agg(*final)
     if spec.cause is not None:
-        out = out.join(cause_profile(rows, e, spec.cause), e, "left")
-        out = out.withColumns({
-            "cause_diversity": F.coalesce("cause_diversity", F.lit(0).cast("bigint")),
-            "cause_consistency": F.coalesce("cause_consistency", F.lit(0.0)),
-        })
-    return out
+        known = F.col("_cause").isNotNull()
+        same = Window.partitionBy(e, "_cause").orderBy("_from")
+        out = out.select(
+            "*", F.when(known, F.sum("_n").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_k"),
+            flag(known & (F.row_number().over(same) == 1)).alias("_new"))
+        out = out.select("*", F.max("_k").over(whole).alias("_most"), F.max(F.when(known, F.col("_to"))).over(whole).alias("_end"))
+        out = out.select(
+            "*", F.min(F.when(F.col("_k") == F.col("_most"), F.col("_cause"))).over(whole).alias("_mode"),
+            F.max(F.when(F.col("_to") == F.col("_end"), F.col("_cause"))).over(whole).alias("_late"))
+        found |= {"cause_last": "_late", "cause_mode": "_mode"}
+        share = F.try_divide(F.max("_k"), F.sum(F.when(known, F.col("_n"))))
+        final += [F.sum("_new").cast("bigint").alias("cause_diversity"), F.coalesce(share, F.lit(0.0)).alias("cause_consistency")]
+    return out.groupBy(e, *[F.col(k).alias(name) for name, k in found.items()]).agg(*final)
 
 
 def cause_profile(rows: DataFrame, entity: str, cause: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, ordered as O
+from faultline.operators import clean, ordered as O, rollup as R
 
 T0 = dt.datetime(2024, 3, 1)
 
@@ -68,3 +68,40 @@ def test_stage_counts_follow_the_filters(spark, tmp_path):
         clean.stage_counts(log, "asset", ["ts"], ["event"], [])
     empty = clean.stage_counts(log.limit(0), "asset", ["asset", "ts"], ["event"], [("after", after)]).collect()
     assert [(r.n_rows, r.n_assets, r.lost_pct) for r in empty] == [(0, 0, None)] * 3
+
+
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_rollup_reads_the_log_once_and_sorts_none_of_it(spark, tmp_path, text_ids):
+    """A third of all events on one asset; missing causes, attributes and ids; ties broken by the id."""
+    i = F.col("id")
+    asset = F.when(i % 3 == 0, F.lit(0)).otherwise(i % 37 + 1).cast("long")
+    ts = F.timestamp_micros(F.lit(1_600_000_000_000_000) + (i * 7919 % 400) * 86_400_000_000).cast("timestamp_ntz")
+    event = F.when(i % 97 > 0, i * 31 % 1000 - 500 + i * 1000)
+    made = spark.range(3000).select(
+        asset.alias("asset"), ts.alias("ts"), (event.cast("string") if text_ids else event).alias("event"),
+        F.when(i % 5 > 0, F.concat(F.lit("c"), i * 13 % 7)).alias("cause"),
+        F.when(i % 4 > 0, F.concat(F.lit("a"), i * 17 % 11)).alias("attr"), F.when(i % 6 > 0, i * 19 % 23).alias("size"))
+    made.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    spec = R.EventSpec("asset", "ts", ("event",), cause="cause", first_of=("attr", "size"))
+    out = R.rollup(log, spec, "2021-06-01 00:00:00")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    assert ("SortAggregate" in plan) == text_ids
+    pdf = log.filter("ts <= timestamp_ntz'2021-06-01'").toPandas()
+    pdf["event"] = pdf.event.astype(object).where(pdf.event.notna(), "" if text_ids else -(2**62))
+    got = out.toPandas().set_index("asset")
+    assert len(got) == pdf.asset.nunique()
+    for asset, g in pdf.sort_values(["ts", "event"]).groupby("asset"):
+        row, causes = got.loc[asset], g.cause.dropna()
+        ties = g.duplicated(["ts", "event"], keep=False)
+        k = causes.value_counts()
+        assert row.n_events == len(g) and row.cause_diversity == len(k)
+        assert row.cause_consistency == pytest.approx(k.max() / k.sum()) and row.cause_mode == min(k[k == k.max()].index)
+        gap = g.ts.diff().dt.days.dropna()
+        assert row.recurs_30d == int((gap <= 30).any()) and row.recurs_90d == int((gap <= 90).any())
+        for name, values in (("attr", g.attr[~ties]), ("size", g["size"][~ties]), ("cause_first", g.cause[~ties])):
+            if not ties.any():
+                assert row[name] == values.dropna().iloc[0]
+        if not ties.any():
+            assert row.cause_last == causes.iloc[-1]
