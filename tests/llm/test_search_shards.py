@@ -207,3 +207,47 @@ def test_license_with_one_edit():
                 if brute_coverage(words, edited) >= licenses.COVERAGE:
                     assert name in {m[0] for m in licenses.scan_text(text, index)}, text
     assert [m[0] for m in licenses.scan_text("Licensed under the MIT License. " * 3, index)] == ["MIT"] * 3
+
+
+def test_fingerprints_are_winnowed():
+    """Any run of gram + window - 1 words holds a fingerprint that templates and texts select alike."""
+    draw = np.random.default_rng(5)
+    words = [f"w{i}" for i in draw.integers(0, 60, 400)]
+    for gram, window in ((1, 1), (2, 1), (1, 3), (2, 2), (3, 4)):
+        hashes = licenses.grams_of(licenses.hashed(words), gram)
+        assert len(hashes) == len(words) - gram + 1
+        slow = {max(i for i in range(a, a + window) if hashes[i] == min(hashes[a:a + window])) for a in range(len(hashes) - window + 1)}
+        assert set(licenses.selected(hashes, window).tolist()) == slow
+        for at in range(0, 380, 7):
+            run = words[at:at + gram + window - 1]
+            other = ["x", "y", *run, "z", "u"]
+            here = licenses.grams_of(licenses.hashed(other), gram)
+            mine = {int(here[i]) for i in licenses.selected(here, window) if 2 <= i <= 1 + window}
+            assert mine & {int(hashes[i]) for i in licenses.selected(hashes, window)}
+    assert not len(licenses.selected(licenses.grams_of(licenses.hashed(["one"]), 2), 2))
+    index = licenses.Index(licenses.TEMPLATES)
+    for key, places in index.at.items():
+        for name in {n for found in places.values() for n, _ in found}:
+            chosen = licenses.selected(licenses.grams_of(licenses.hashed(index.words[name]), key[0]), key[1])
+            assert sorted(j for found in places.values() for n, j in found if n == name) == chosen.tolist()
+            assert key[1] == 1 or len(chosen) < len(index.words[name]) - key[0]
+
+
+def test_whole_license_with_scattered_edits():
+    """Whole texts are found with a fifth of their words changed, dropped or preceded by others, wherever these are."""
+    draw = np.random.default_rng(6)
+    index = licenses.Index(licenses.TEMPLATES)
+    for name, words in index.words.items():
+        missing = licenses.missing_of(len(words), licenses.COVERAGE)
+        extra = licenses.band_of(len(words))
+        for even in (True, False) * 10:
+            places = np.linspace(0, len(words) - 1, missing).astype(int) if even else draw.choice(len(words), missing, replace=False)
+            edited = [f"other{i}" if i in set(places.tolist()) else w for i, w in enumerate(words)]
+            at = int(draw.integers(0, len(words)))
+            edited[at:at] = ["more"] * int(draw.integers(0, extra + 1))
+            found = {m[0]: m for m in licenses.scan_text("before it " + " ".join(edited) + " after it", index)}
+            assert name in found and found[name][1] == len(words) - missing
+    long = " ".join(prose(i, 500) for i in range(40))
+    text = long + " " + licenses.TEMPLATES["Zlib"] + " " + long
+    (match,) = licenses.scan_text(text, index)
+    assert match[0] == "Zlib" and match[3] == 1 and match[4] == len(long) + 1 and match[5] == len(long) + len(licenses.TEMPLATES["Zlib"])
