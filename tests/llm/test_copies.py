@@ -360,3 +360,18 @@ def test_copies_of_four_fifths(spark):
 @given(st.text("abcé", max_size=30), st.text("abcé", max_size=30))
 def test_apart_only_beyond_the_distance(a, b):
     assert not lines.apart(a, b, lines.distance(a, b))
+
+
+def test_distances_of_many_pairs():
+    """Counted together, by length and with every kind of letter, as one by one."""
+    draw = np.random.default_rng(11)
+    pairs = []
+    for i in range(3000):
+        n, m = (int(draw.choice([0, 1, 5, 63, 64, 65, 127, 128, 129, 200, 400, 1100])) for _ in range(2))
+        letters = list("abcdé語😀" if i % 2 else "ab")
+        a, b = "".join(draw.choice(letters, n)), "".join(draw.choice(letters, m))
+        pairs.append((a, a[:n // 2] + "zz" + a[n // 2 + 1:] if i % 3 else b))
+    assert lines.distances(pairs).tolist() == [lines.distance(*p) for p in pairs]
+    assert lines.distances([]).tolist() == [] and lines.distances([("", ""), ("a", ""), ("same", "same")]).tolist() == [0, 1, 0]
+    wide = [("".join(map(chr, range(0x4E00 + i, 0x4E00 + i + 50))), "".join(map(chr, range(0x4E02 + i, 0x4E00 + i + 50)))) for i in range(0, 4000, 20)]
+    assert set(lines.distances(wide).tolist()) == {2}
