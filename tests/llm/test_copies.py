@@ -375,3 +375,60 @@ def test_distances_of_many_pairs():
     assert lines.distances([]).tolist() == [] and lines.distances([("", ""), ("a", ""), ("same", "same")]).tolist() == [0, 1, 0]
     wide = [("".join(map(chr, range(0x4E00 + i, 0x4E00 + i + 50))), "".join(map(chr, range(0x4E02 + i, 0x4E00 + i + 50)))) for i in range(0, 4000, 20)]
     assert set(lines.distances(wide).tolist()) == {2}
+
+
+def test_large_keys_lose_no_pair(spark):
+    """Of lines that nearly all share their minima, every two that share a key and are alike are in one group."""
+    draw = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def word(n):
+        return "".join(draw.choice(letters, n))
+
+    core = " ".join(word(9) for _ in range(8))
+    texts = []
+    for i in range(240):
+        words = [word(4) for _ in range(12)]
+        texts.append(" ".join(words[:6] + [core] + words[6:]))
+        if i % 4 == 0:
+            texts.append(" ".join([word(1) + w[1:] if k % 3 == 1 else w for k, w in enumerate(words[:6])] + [core] + [w[:3] + word(1) if k % 3 == 1 else w for k, w in enumerate(words[6:])]))
+    found = [x.encode().split() for x in texts]
+    code, keys = lines.codes(found), lines.keys_of(lines.sketches(found))
+    x, y = np.nonzero(np.triu(np.bitwise_count((code[:, None] ^ code[None, :]).view(np.uint64)) <= lines.MOST_BITS, 1))
+    shared = (keys[x] == keys[y]).any(axis=1)
+    assert shared.sum() > 3000
+    pairs = [(texts[i], texts[j]) for i, j in zip(x[shared], y[shared])]
+    close = lines.distances(pairs) <= [0.2 * max(map(len, p)) + 1e-9 for p in pairs]
+    sets = Sets()
+    for i, j in zip(x[shared][close].tolist(), y[shared][close].tolist()):
+        sets.join(i, j)
+    want = [sets.find(i) for i in range(len(texts))]
+    assert 150 < len(set(want)) < 280
+    group = {r.doc_id: r.group_id for r in lines.line_groups(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    together = {}
+    for i, w in enumerate(want):
+        together.setdefault(w, set()).add(group[i])
+    assert all(len(g) == 1 for g in together.values()) and len({min(g) for g in together.values()}) == len(together)
+
+
+def test_tiles_of_a_key(spark, monkeypatch):
+    """Small tiles and classes of length give the links that one comparison of all lines gives."""
+    draw = np.random.default_rng(9)
+    texts = [x for pair in edited_lines(draw, 60, 9) + edited_lines(draw, 60, 14) for x in pair]
+    texts = list(dict.fromkeys(texts))
+    found = [x.encode().split() for x in texts]
+    code, sketch = lines.codes(found), lines.sketches(found)
+    sketch[:, 0] = 12345  # all share the first two minima
+    key = int(lines.keys_of(sketch)[0, 0])
+    nodes = spark.createDataFrame([(i, t, *map(int, sketch[i])) for i, t in enumerate(texts)], "node long, line string, " + ", ".join(f"{s} long" for s in lines.SKETCH))
+    large = spark.createDataFrame([(key, i, int(code[i]), i) for i in range(len(texts))], "key long, node long, code long, component long")
+    monkeypatch.setattr(lines, "TILE", 16)
+    got, want = Sets(), Sets()
+    for r in lines._large_links(large, nodes).collect():
+        got.join(r.a, r.b)
+    for i in range(len(texts)):
+        for j in range(i):
+            if (int(code[i] ^ code[j]) & (1 << 64) - 1).bit_count() <= lines.MOST_BITS and lines.distance(texts[i], texts[j]) <= 0.2 * max(len(texts[i]), len(texts[j])) + 1e-9:
+                want.join(i, j)
+    assert [got.find(i) for i in range(len(texts))] == [want.find(i) for i in range(len(texts))]
+    assert len({want.find(i) for i in range(len(texts))}) < 0.7 * len(texts)
