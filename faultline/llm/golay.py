@@ -147,16 +147,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return named.mapInPandas(run, "doc_id long, print long")
 
 
-def _keyed(prints: DataFrame) -> DataFrame:
+def _keyed(prints: DataFrame, node: str = "print") -> DataFrame:
+    """The keys of the fingerprints in ``print`` as (key, side, node, code)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = pdf["print"].to_numpy(np.int64)
+            values, names = pdf["print"].to_numpy(np.int64), pdf["name"].to_numpy(np.int64)
             for at in range(0, len(values), 4096):
                 part = values[at:at + 4096]
                 rows, keys, sides = keys_of(part)
-                yield pd.DataFrame({"key": keys, "side": sides, "node": part[rows], "code": part[rows]})
+                yield pd.DataFrame({"key": keys, "side": sides, "node": names[at:at + 4096][rows], "code": part[rows]})
 
-    return prints.select("print").mapInPandas(run, "key long, side byte, node long, code long")
+    return prints.select("print", F.col(node).alias("name")).mapInPandas(run, "key long, side byte, node long, code long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,12 +180,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row of each group of near copies kept, the one with the smallest id, with their own columns.
 
-    Near copies share 0.8 of their five-word shingles (``shingles.py``); fingerprints have no part in it.
+    Near copies share 0.8 of their five-word shingles (``shingles.py``). Golay keys of the fingerprints of these shingles
+    find them first, at most ``MOST_BITS`` bits apart; MinHash finds those of 0.8 that are further apart.
     Rows are numbered first and decided one by one, so rows that share an id, or have none, but not their text stay. A row
     with an id goes before one without; of rows with the same id the first by number is kept.
     """
     rows = numbered(docs)
-    every = keep(near_copies(rows.select(F.col("_row").alias("row"), F.col("_doc")[id_col].cast("long").alias("id"), F.col("_doc")[text_col].alias("text"))))
+    every = keep(near_copies(rows.select(F.col("_row").alias("row"), F.col("_doc")[id_col].cast("long").alias("id"), F.col("_doc")[text_col].alias("text")), lambda prints: _keyed(prints, "node"), MOST_BITS))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     best = every.groupBy("component").agg(F.min(order)["row"].alias("best"))
     # Few documents go, so the numbers that go are looked up rather than those that stay.

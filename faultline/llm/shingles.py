@@ -1,14 +1,16 @@
-"""Near copies by Jaccard similarity of five-word shingles: MinHash finds candidates, their shingle sets decide.
+"""Near copies by Jaccard similarity of five-word shingles: fingerprints and MinHash find candidates, their shingle sets decide.
 
-Texts are lower-cased (A-Z) and cut at ASCII white space. A text of fewer than five words is one shingle. Forty-eight minima in
-twelve keys of four find a pair of similarity 0.8 with 99.8 %, more similar ones more surely; two texts are linked only
+Texts are lower-cased (A-Z) and cut at ASCII white space. A text of fewer than five words is one shingle. A text has a
+SimHash fingerprint of its shingles, whose keys (Golay codes, ``golay.py``) find near copies first. Texts of similarity 0.8 differ in
+about ten of its bits, more than such keys can bridge, so forty-eight minima in twelve keys of four find the rest: a pair of
+similarity 0.8 with 99.8 %, more similar ones more surely. Two texts are linked only
 if their sets of 64-bit shingle hashes have a similarity of ``SIMILARITY`` or more. Equal texts are one text from the start;
 texts without words are equal.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,21 +53,25 @@ def shingles(text: str | None) -> Iterator[np.ndarray]:
         yield _mixed(tail, len(tail))
 
 
-def sketch(text: str | None) -> tuple[int, np.ndarray]:
-    """The node of a text, equal for equal words, and its keys; 0 and none without words."""
+def sketch(text: str | None) -> tuple[int, np.ndarray, int]:
+    """The node of a text, equal for equal words, its MinHash keys and its fingerprint; 0 and none without words."""
     least, node = np.full(BANDS * ROWS, np.iinfo(np.uint64).max), xxhash.xxh64()
-    empty = True
+    ones, total, empty = np.zeros(64, np.int64), 0, True
     for part in shingles(text):
         empty = False
+        for at in range(0, len(part), 65536):
+            ones += np.unpackbits(part[at:at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(part)
         node.update(part.tobytes())
         for at in range(0, len(part), 4096):
             least = np.minimum(least, (part[at:at + 4096, None] * _ORDERS).min(axis=0))
     if empty:
-        return 0, np.zeros(0, np.int64)
+        return 0, np.zeros(0, np.int64), 0
     keys = np.arange(BANDS, dtype=np.uint64)
     for column in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ (keys >> np.uint64(29))) * _STEP + column
-    return int(np.uint64(node.intdigest()).view(np.int64)), (keys ^ (keys >> np.uint64(32))).view(np.int64)
+    code = np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0]
+    return int(np.uint64(node.intdigest()).view(np.int64)), (keys ^ (keys >> np.uint64(32))).view(np.int64), int(code)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -81,17 +87,22 @@ def _slots(numbers: np.ndarray) -> np.ndarray:
     return numbers ^ (numbers >> 13) ^ (numbers >> 33)
 
 
-def near_copies(rows: DataFrame) -> DataFrame:
-    """``row, id, component`` of every row of (row, id, text)."""
+def near_copies(rows: DataFrame, keyed_prints: Callable[[DataFrame], DataFrame], most_bits: int) -> DataFrame:
+    """``row, id, component`` of every row of (row, id, text).
+
+    ``keyed_prints`` gives the (key, side, node, code) of (node, print); texts that share such a key and differ in at most
+    ``most_bits`` bits are candidates, and so are those that share a MinHash key.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [sketch(text) for text in pdf["text"]]
-            yield pd.DataFrame({"row": pdf["row"], "id": pdf["id"], "node": np.array([n for n, _ in found], np.int64), "keys": [k for _, k in found]})
+            yield pd.DataFrame({"row": pdf["row"], "id": pdf["id"], "node": np.array([n for n, _, _ in found], np.int64),
+                                "keys": [k for _, k, _ in found], "print": np.array([p for _, _, p in found], np.int64)})
 
     named = rows.select("row", F.col("id").cast("string").alias("id"), "text")
-    every = keep(named.mapInPandas(run, "row long, id string, node long, keys array<long>").withColumn("id", F.col("id").cast("long")))
-    nodes = keep(every.groupBy("node").agg(F.min("row").alias("row"), F.min("keys").alias("keys")))
+    every = keep(named.mapInPandas(run, "row long, id string, node long, keys array<long>, print long").withColumn("id", F.col("id").cast("long")))
+    nodes = keep(every.groupBy("node").agg(F.min("row").alias("row"), F.min("keys").alias("keys"), F.min("print").alias("print")))
 
     def keyed() -> DataFrame:
         return nodes.select(F.explode("keys").alias("key"), F.lit(EITHER).cast("byte").alias("side"), "node", F.lit(0).cast("long").alias("code"))
@@ -119,5 +130,6 @@ def near_copies(rows: DataFrame) -> DataFrame:
             found.select(F.col("node").alias("b"), F.col("parts").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInPandas(judged, "a long, b long")
 
-    known = linked(keyed, 64, verify)
+    alike = linked(lambda: keyed_prints(nodes.where(F.size("keys") > 0).select("node", "print")), most_bits, verify)
+    known = linked(keyed, 64, verify, known=alike)
     return every.join(known, "node", "left").select("row", "id", F.coalesce("component", "node").alias("component"))

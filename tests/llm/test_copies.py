@@ -432,3 +432,25 @@ def test_tiles_of_a_key(spark, monkeypatch):
                 want.join(i, j)
     assert [got.find(i) for i in range(len(texts))] == [want.find(i) for i in range(len(texts))]
     assert len({want.find(i) for i in range(len(texts))}) < 0.7 * len(texts)
+
+
+def test_near_copies_by_golay_keys(spark, monkeypatch):
+    """Near copies whose fingerprints differ in few bits are found by Golay keys alone."""
+    from faultline.llm import shingles
+
+    plain = shingles.sketch
+
+    def without_minhash(text):
+        node, keys, code = plain(text)
+        return node, keys ^ np.int64(node), code  # no two texts share such a key
+
+    rows, want = [], set()
+    for i in range(40):
+        words = [f"{w}{k}" for k, w in enumerate(prose(300 + i, 300).split())]
+        other = [*words[:-1], f"new{i}"]
+        rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(other), "en", "s", 1)]
+        a, b = (plain(r[1])[2] for r in rows[-2:])
+        want |= {2 * i} if ((a ^ b) & (1 << 64) - 1).bit_count() <= golay.MOST_BITS else {2 * i, 2 * i + 1}
+    assert len(want) < 60
+    monkeypatch.setattr(shingles, "sketch", without_minhash)
+    assert {r.doc_id for r in golay.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()} == want
