@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -42,12 +45,19 @@ def trained(labels, horizon="6M", family="boosted"):
     return p, train, test, T.fit_classifier(train, f"target_{horizon}", settings, "asset")
 
 
-def _metrics(labels, family):
-    rows = []
-    for h in HORIZONS:
+def side_by_side(spark, make: Callable, items: Sequence) -> list:
+    """What ``make`` returns for each item, in their order. Fits are many short jobs in a row, so those that don't need each other share the cluster."""
+    with ThreadPool(max(1, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(make), items, chunksize=1)
+
+
+def _metrics(labels, *families):
+    def one(item):
+        family, h = item
         _, _, test, model = trained(labels, h, family)
-        rows.append(T.evaluate(model, test, f"target_{h}", h, family))
-    return rows
+        return T.evaluate(model, test, f"target_{h}", h, family)
+
+    return side_by_side(labels.sparkSession, one, [(f, h) for f in families for h in HORIZONS])
 
 
 @register("class_weight", f"""WITH {TARGET_SQL}
@@ -85,7 +95,7 @@ def failure_model_metrics(spark, folder):
 @register("failure_model_families")
 def failure_model_families(spark, folder):
     labels = labelled(spark, folder)
-    return M.compare_models([*_metrics(labels, "boosted"), *_metrics(labels, "categorical")])
+    return M.compare_models(_metrics(labels, "boosted", "categorical"))
 
 
 @register("tuned_failure_model")
@@ -103,11 +113,9 @@ def failure_scores(spark, folder):
 
 @register("feature_importance")
 def feature_importance(spark, folder):
-    rows, labels = [], labelled(spark, folder)
-    for h in HORIZONS:
-        p, _, _, model = trained(labels, h)
-        rows.append(T.importance(model, p.features, spark, h))
-    top = T.top_features(sets.union_all(rows), 5)
+    labels = labelled(spark, folder)
+    fitted = zip(HORIZONS, side_by_side(spark, lambda h: trained(labels, h), HORIZONS))
+    top = T.top_features(sets.union_all([T.importance(model, p.features, spark, h) for h, (p, _, _, model) in fitted]), 5)
     return annotate_importance(top, vocabulary.COLUMN_NAMES)
 
 
@@ -127,17 +135,19 @@ def chronic_high_risk_report(spark, folder):
 
 @register("asset_explanations")
 def asset_explanations(spark, folder):
-    rows, labels = [], labelled(spark, folder)
-    for h in HORIZONS:
+    labels = labelled(spark, folder)
+
+    def explained(h):
         p, _, _, model = trained(labels, h)
-        rows.append(X.explain_top_assets(model, p.table, "asset", p.features, n=100, k=5).withColumn("horizon", F.lit(h)))
-    return sets.union_all(rows)
+        return checkpoint(X.explain_top_assets(model, p.table, "asset", p.features, n=100, k=5).withColumn("horizon", F.lit(h)))
+
+    return sets.union_all(side_by_side(spark, explained, HORIZONS))
 
 
 @register("global_importance")
 def global_importance(spark, folder):
     labels = labelled(spark, folder)
-    fitted = {h: trained(labels, h) for h in HORIZONS}
+    fitted = dict(zip(HORIZONS, side_by_side(spark, lambda h: trained(labels, h), HORIZONS)))
     return X.global_importance({h: (f[0].table, f[3]) for h, f in fitted.items()}, "asset", fitted["6M"][0].features)
 
 
@@ -150,8 +160,7 @@ def held_out(labels, horizon="6M"):
 @register("calibrated_model_metrics")
 def calibrated_model_metrics(spark, folder):
     rows, labels = [], labelled(spark, folder)
-    for h in HORIZONS:
-        _, _, scored = held_out(labels, h)
+    for h, (_, _, scored) in zip(HORIZONS, side_by_side(spark, lambda h: held_out(labels, h), HORIZONS)):
         fit, check = T.stratified_split(scored, "asset", ["y"], 0.5)
         fit, check = checkpoint(fit), checkpoint(check)
         iso, platt = C.calibrate_isotonic(fit, "y", "probability_1"), C.calibrate_platt(fit, "y", "probability_1")

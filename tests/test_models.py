@@ -1,4 +1,6 @@
 import math
+import threading
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -276,3 +278,23 @@ def test_model_explanations_and_storage(spark, tmp_path):
     loaded = T.load_model(str(tmp_path / "m"))
     a, b = (T.probabilities(m, prepared.table).agg(F.sum("probability_1")).first()[0] for m in (models["6M"], loaded))
     assert a == pytest.approx(b)
+
+
+def test_fits_of_the_horizons_run_side_by_side(spark, monkeypatch):
+    from faultline.catalog import learning as Q
+
+    meet = threading.Barrier(len(Q.HORIZONS), timeout=30)
+
+    def trained(labels, horizon="6M", family="boosted"):
+        meet.wait()
+        return SimpleNamespace(table=horizon, features=["a"]), None, None, family
+
+    monkeypatch.setattr(Q, "labelled", lambda *_: spark.range(1))
+    monkeypatch.setattr(Q, "trained", trained)
+    monkeypatch.setattr(X, "global_importance", lambda models, *_: models)
+    monkeypatch.setattr(X, "explain_top_assets", lambda model, table, *_, **more: spark.createDataFrame([(table,)], "of string"))
+    monkeypatch.setattr(T, "evaluate", lambda model, test, label, horizon, name: (horizon, name))
+    monkeypatch.setattr(M, "compare_models", list)
+    assert Q.global_importance(spark, "") == {h: (h, "boosted") for h in Q.HORIZONS}
+    assert {tuple(r) for r in Q.asset_explanations(spark, "").collect()} == {(h, h) for h in Q.HORIZONS}
+    assert Q.failure_model_families(spark, "") == [(h, f) for f in ("boosted", "categorical") for h in Q.HORIZONS]
