@@ -454,3 +454,55 @@ def test_near_copies_by_golay_keys(spark, monkeypatch):
     assert len(want) < 60
     monkeypatch.setattr(shingles, "sketch", without_minhash)
     assert {r.doc_id for r in golay.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+
+
+def test_alike_as_by_distances():
+    """The bounded comparison, by length and band, says what edit distances say."""
+    draw = np.random.default_rng(17)
+    pairs = []
+    for i in range(4000):
+        n = int(draw.choice([0, 1, 5, 63, 64, 65, 127, 128, 129, 200, 400, 700, 1100]))
+        letters = list("abcdé語😀" if i % 2 else "ab")
+        a = draw.choice(letters, n).tolist()
+        b = list(a)
+        for _ in range(int(draw.integers(0, max(1, n // 3)))):
+            at, how = int(draw.integers(0, len(b) + 1)), int(draw.integers(0, 3))
+            b[at:at + (how > 0)] = [str(draw.choice(letters))] if how < 2 else []
+        if i % 3 == 0:
+            cut = int(draw.integers(0, n // 6 + 1))
+            b = b[cut:] + draw.choice(letters, cut).tolist()
+        pairs.append(("".join(a), "".join(b)) if i % 5 else ("".join(b), "".join(a)))
+    want = lines.distances(pairs) <= [0.2 * max(map(len, p)) + 1e-9 for p in pairs]
+    assert 0.2 < want.mean() < 0.8
+    assert lines.alike(pairs).tolist() == want.tolist()
+    assert lines.alike([]).tolist() == [] and lines.alike([("", ""), ("a", "")]).tolist() == [True, False]
+
+
+def test_numbers_that_occur_twice(spark):
+    numbers = [*range(-500, 500), *range(0, 500, 7), 1 << 62, 1 << 62]
+    table = spark.createDataFrame([(x,) for x in numbers], "n long").repartition(5)
+    bits = lines.repeated(table, lambda pdf: pdf["n"].to_numpy(np.int64), 26)
+    every = np.array(sorted(set(numbers)), np.int64)
+    assert every[lines.marked(bits, lines.slots(every))].tolist() == [*range(0, 500, 7), 1 << 62]
+    assert not lines.repeated(table.limit(0), lambda pdf: pdf["n"].to_numpy(np.int64), 20).any()
+
+
+def test_only_keys_that_lines_share_are_dealt(spark):
+    """Lines that share no two minima with another one have no rows among the keys."""
+    draw = np.random.default_rng(23)
+    near = [x for pair in edited_lines(draw, 20, 20) for x in pair]
+    alone = [a for a, _ in edited_lines(draw, 400, 20)]
+    seen, found = [], components.linked
+
+    def watched(rows, *rest, **more):
+        table = rows()
+        seen.append((table.count(), table.select("node").distinct().count()))
+        return found(rows, *rest, **more)
+
+    lines.linked = watched
+    try:
+        got = {r.doc_id: r.group_id for r in lines.line_groups(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(near + alone)], SCHEMA)).collect()}
+    finally:
+        lines.linked = found
+    assert sum(got[i] == got[i + 1] for i in range(0, len(near), 2)) >= 0.95 * len(near) / 2
+    assert seen[0][1] <= len(near) + 20 and seen[0][0] <= 28 * seen[0][1], seen
