@@ -53,6 +53,9 @@ def linked(rows: Callable[[], DataFrame], most_bits: int, verify: Callable[[Data
     before, whose nodes needn't be compared with each other. With ``counted``, ``rows()`` is a table that hardly holds a key
     of one row, and keys aren't counted again.
 
+    Spark takes rows that are made in Python or exploded to be as few as those they are made from, and would broadcast them:
+    joins with ``rows()`` are merged.
+
     Pairs of a group are not listed as a whole. First every row is compared with one centre of its key, which joins a
     dense group. Then, where a key still holds several components, the rows outside its largest one are compared with the
     rows of other components. Pairs inside a component can't change it, so no link that matters is left out.
@@ -68,10 +71,10 @@ def linked(rows: Callable[[], DataFrame], most_bits: int, verify: Callable[[Data
     if some is None:
         busy = rows()
     elif narrowed is None:
-        busy = keep(rows().join(some, "key"))
+        busy = keep(rows().join(some.hint("merge"), "key"))
     else:
         some = keep(some)
-        busy = keep(narrowed(some).join(some, "key"))
+        busy = keep(narrowed(some).join(some.hint("merge"), "key"))
     named = busy.withColumn("component", F.col("node")) if known is None else _named(busy, known)
     centre = F.struct("node", "code", "component")
     centres = named.groupBy("key").agg(*[F.min(F.when(F.col("side") == s, centre)).alias(f"c{s}") for s in (FIRST, SECOND, EITHER)])

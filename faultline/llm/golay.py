@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = prints.join(found.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.join(names, "component").select("print", "component_id")
-    return every.join(of, "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    return every.join(of.hint("merge"), "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

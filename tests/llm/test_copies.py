@@ -456,6 +456,22 @@ def test_near_copies_by_golay_keys(spark, monkeypatch):
     assert {r.doc_id for r in golay.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()} == want
 
 
+def test_keyed_rows_are_not_broadcast(spark, monkeypatch):
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(components, "keep", seen)
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(words[i % 40:i % 40 + 60])) for i in range(80)], "doc_id long, text string")
+    assert len({r["component_id"] for r in golay.near_duplicates(docs).collect()}) <= 40
+    assert golay.one_of_each(docs).count() <= 40
+    keyed = [p for p in plans if ("MapInPandas" in p or "Generate" in p) and "Project [key#" in p.splitlines()[1]]
+    assert len(keyed) == 3 and not any("BroadcastHashJoin" in p for p in keyed)
+
+
 def test_alike_as_by_distances():
     """The bounded comparison, by length and band, says what edit distances say."""
     draw = np.random.default_rng(17)
