@@ -494,6 +494,48 @@ def test_alike_as_by_distances():
     assert lines.alike([]).tolist() == [] and lines.alike([("", ""), ("a", "")]).tolist() == [True, False]
 
 
+def test_edits_are_counted_no_further_than_needed(monkeypatch):
+    """Few pairs, long pairs and shifted ones: as by their distances, none of which is counted in full."""
+    rng = np.random.default_rng(11)
+    pairs = []
+    for n in (3, 40, 150, 700, 2500):
+        for _ in range(8):
+            a = "".join(rng.choice(list("abcdefg "), n))
+            at, share = int(rng.integers(0, n)), rng.uniform(0.05, 0.4)
+            b = "".join(rng.choice(list("xyz"), 1)[0] if rng.random() < share else c for c in a)
+            cut = int(share * n / 2)
+            pairs += [(a, b), (b, a), (a, a[cut:] + b[:cut]), (b[cut:], a), (a, a[:at] + "q" * cut + a[at:]), (a, "".join(rng.permutation(list(a))))]
+    most = [int(0.2 * max(map(len, p)) + 1e-9) for p in pairs]
+    want = [lines.distance(*p) <= m for p, m in zip(pairs, most)]
+    assert 50 < sum(want) < len(want) - 50
+    assert [lines.within(*p, m) for p, m in zip(pairs, most)] == want
+    monkeypatch.setattr(lines, "distance", None)
+    for step in (1, 7, len(pairs)):
+        assert [bool(x) for at in range(0, len(pairs), step) for x in lines.alike(pairs[at:at + step])] == want
+    many = pairs * 12
+    assert lines.alike(many).tolist() == want * 12
+
+
+def test_words_are_hashed_once(monkeypatch):
+    import pandas as pd
+
+    counted = Counter()
+
+    class Counting:
+        @staticmethod
+        def xxh64_intdigest(data):
+            counted[data] += 1
+            return xxhash.xxh64_intdigest(data)
+
+    text = "\n".join(" ".join(f"word{i * 20 + j}" for j in range(20)) for i in range(30))
+    rows = pd.DataFrame({"doc_id": ["1"], "row": [0], "text": [text]})
+    (want,) = lines._lines(iter([rows]))
+    monkeypatch.setattr(lines, "xxhash", Counting)
+    (got,) = lines._lines(iter([rows]))
+    assert got.equals(want) and len(got) == 30
+    assert all(counted[w.encode()] == 1 for w in text.split())
+
+
 def test_numbers_that_occur_twice(spark):
     numbers = [*range(-500, 500), *range(0, 500, 7), 1 << 62, 1 << 62]
     table = spark.createDataFrame([(x,) for x in numbers], "n long").repartition(5)
